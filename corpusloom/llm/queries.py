@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, lines, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +16,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that come in later than this after they were built are the partition that is merged into the rest.
+LATE_DAYS = 7
+
+
+def _line_state(docs: DataFrame) -> lines.LineState:
+    """The rows in time as the first partition, the late ones merged as a delta."""
+    late = F.coalesce(F.col("ingested_at") > F.col("built_at") + F.make_dt_interval(F.lit(LATE_DAYS)), F.lit(False))
+    first = lines.count_partition(docs.where(~late))
+    return lines.merge(first, lines.count_partition(lines.unseen(docs.where(late), first)))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")
+    return lines.repeated_lines(docs, _line_state(docs))
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, clean_text of the records that hold an excessive line."""
+    docs = table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")
+    hits = lines.repeated_lines(docs, _line_state(docs))
+    return lines.rebuild(docs.select("id", "text"), hits).select("id", "clean_text").dropDuplicates(["id"])
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_oversized(table(spark, sf_dir, "v2_chunks"), table(spark, sf_dir, "size_limits"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_pieces(spark, sf_dir).where("n_pieces > 1").select("id").distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {"p8_ids": p8_ids}
+    return {f.__name__: f for f in (p4_found, p4_clean, p5_found, p5_pieces, p8_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p4_found": P4_FOUND, "p5_found": P5_FOUND}
+
+
+P4_FOUND = r"""
+WITH docs AS (SELECT DISTINCT id, source, text FROM v2_chunks),
+pos AS (SELECT id, source, string_split(text, chr(10)) AS parts FROM docs WHERE text IS NOT NULL),
+flat AS (SELECT id, source, unnest(parts) AS raw, unnest(range(len(parts))) AS line_no FROM pos),
+norm AS (SELECT id, source, line_no, trim(regexp_replace(regexp_replace(lower(raw), '[0-9０-９]+', '0', 'g'), '[ \t\r\x{3000}\x{00A0}]+', ' ', 'g')) AS line FROM flat),
+held AS (SELECT * FROM norm WHERE length(line) >= 4),
+counts AS (SELECT source, line, count(DISTINCT id) AS n FROM held GROUP BY ALL),
+sizes AS (SELECT source, count(DISTINCT id) AS n_ids FROM docs GROUP BY ALL)
+SELECT DISTINCT h.id, CAST(h.line_no AS INTEGER) AS line_no
+FROM held h JOIN counts c ON h.line = c.line AND h.source IS NOT DISTINCT FROM c.source
+JOIN sizes z ON z.source IS NOT DISTINCT FROM h.source
+WHERE c.n >= 5 AND c.n * 10 >= z.n_ids
+"""
+
+P5_FOUND = "SELECT DISTINCT v.id FROM v2_chunks v JOIN size_limits s USING (dataset_source) WHERE length(v.text) > s.max_chars"
