@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, splitting
+from . import bpe, lines, neardup, spans, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.similar_pairs(table(spark, sf_dir, "v2_chunks").select("id", "text"))
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, group_id, n_links of every record."""
+    return neardup.groups(table(spark, sf_dir, "v2_chunks").select("id", "text"))
+
+
 #: Rows that come in later than this after they were built are the partition that is merged into the rest.
 LATE_DAYS = 7
 
@@ -51,8 +60,23 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = spans.sharing_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
+
+
+def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, end of the stretches of each document that also stand in others."""
+    return spans.shared_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
+def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, shared_chars of every document."""
+    return spans.shared_share(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p4_found, p4_clean, p5_found, p5_pieces, p8_ids)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p8_ids, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
