@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, neardup, spans, splitting
+from . import bpe, lines, neardup, quality, spans, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_pieces(spark, sf_dir).where("n_pieces > 1").select("id").distinct()
 
 
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "v2_chunks").select("id", "text"), table(spark, sf_dir, "chunk_labels"), table(spark, sf_dir, "common_words"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).where(F.col("kind") != "prose").select("id", "kind").distinct()
+
+
+def p7_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's statistics, percentiles within its language, kind, and its true length beside char_count."""
+    scored = _scored(spark, sf_dir).dropDuplicates(["id"])
+    names = [*(F.col("stats")[k].alias(s) for k, s in enumerate(quality.STATS)), *(F.col("percentiles")[k].alias(f"{s}_percentile") for k, s in enumerate(quality.STATS))]
+    counts = table(spark, sf_dir, "v2_chunks").groupBy("id").agg(F.max("char_count").alias("char_count"))
+    return scored.select("id", "lang", "kind", *names).join(counts, "id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -76,7 +92,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p8_ids, p10_found, p10_spans, p10_share)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p7_found, p7_stats, p8_ids, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
