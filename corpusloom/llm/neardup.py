@@ -6,7 +6,7 @@ lies below the shingle's weight there. All of it comes from hashes of shingle, l
 records share a minimum with a probability equal to their weighted Jaccard similarity. Points are made in the order of
 time, for all records of a batch at once, only as far as the slots still need them.
 
-Equal texts are one class (two 64-bit hashes of the text without blanks); bands, links and components hold classes, and
+Equal texts are one class (a 64-bit hash of the text without blanks); bands, links and components hold classes, and
 copies are expanded from their class only where pairs of ids are asked for. Null and short texts are alone.
 """
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vec
@@ -22,7 +22,6 @@ from . import vec
 SHINGLE, LEAST_CHARS, THRESHOLD = 5, 80, 0.7
 #: P(a pair at similarity s shares a band) = 1 - (1 - s ** ROWS) ** BANDS: 0.9994 at 0.7, 0.99998 at 0.75, 0.0004 at 0.1.
 ROWS, BANDS = 5, 40
-_CLASS = ["c1", "c2"]
 #: The characters left out before texts are compared.
 BLANKS = " \t\r\n　 "
 
@@ -136,60 +135,78 @@ def similarity(left: pa.Array, right: pa.Array, size: int = SHINGLE, multiset: b
     return common / np.maximum(total, 1)
 
 
+#: Classes that are broadcast at most (8 bytes each); more of them are joined by a shuffle.
+BROADCAST_CLASSES = 1_000_000
+
+
 def prepared(docs: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """id, c1, c2, t (the text without blanks) of the texts that are long enough."""
+    """id, c (the class), t (the text without blanks) of the texts that are long enough."""
     t = docs.select(docs[id_col].alias("id"), F.translate(docs[text], BLANKS, "").alias("t")).where(F.length("t") >= LEAST_CHARS)
-    return t.select("id", F.xxhash64("t").alias("c1"), F.xxhash64(F.lit(7), "t").alias("c2"), "t")
-
+    return t.select("id", F.xxhash64("t").alias("c"), "t")
 
-def class_links(held: DataFrame, threshold: float = THRESHOLD, multiset: bool = False) -> DataFrame:
-    """c1, c2, d1, d2, similarity of each pair of classes (of prepared()) at least that similar, the lesser first.
 
-    Bands of one member are dropped before pairs are made; the texts of both sides are compared in full.
-    """
+def bands(held: DataFrame, multiset: bool = False) -> DataFrame:
+    """key, c of each band of each class. A task signs a text once, however many copies of it it sees."""
 
     def make():
+        seen: set[int] = set()
+
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            h, offsets = shingle_hashes(batch.column(2))
+            fresh = []
+            for k, c in enumerate(batch.column(0).to_pylist()):
+                if c not in seen:
+                    seen.add(c)
+                    fresh.append(k)
+            batch = batch.take(pa.array(fresh, pa.int32()))
+            h, offsets = shingle_hashes(batch.column(1))
             weights = None
             if multiset:
                 h, weights, offsets = _bag(h, offsets)
             keys = band_keys(signatures(h, weights, offsets))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["c1", "c2", "keys"])
+            return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], ["key", "c"])
 
         return run
 
+    return vec.map_steps(held.select("c", "t"), make, "key bigint, c bigint", "t")
+
+
+def class_links(held: DataFrame, threshold: float = THRESHOLD, multiset: bool = False) -> DataFrame:
+    """c < d and similarity of each pair of classes (of prepared()) at least that similar.
+
+    One shuffle brings bands together; those of one class alone, nearly all, are dropped before pairs are made, and the
+    rest is written to the shared folder, as are the distinct candidates. Both texts of a candidate are compared in
+    full; the classes needed for that are broadcast to the scan of the texts only up to BROADCAST_CLASSES of them.
+    """
+
     def verify():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            alike = similarity(batch.column(4), batch.column(5), SHINGLE, multiset)
-            out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(alike)], ["c1", "c2", "d1", "d2", "similarity"])
+            alike = similarity(batch.column(2), batch.column(3), SHINGLE, multiset)
+            out = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(alike)], ["c", "d", "similarity"])
             return out.filter(pa.array(alike >= threshold))
 
         return run
 
-    texts = held.dropDuplicates(_CLASS).select(*_CLASS, "t")
-    signed = vec.map_steps(texts, make, "c1 bigint, c2 bigint, keys array<bigint>", "t")
-    bands = signed.select(*_CLASS, F.explode("keys").alias("key")).repartition("key")
-    who = F.struct(*_CLASS)
-    several = bands.groupBy("key").agg(F.min(who).alias("a"), F.max(who).alias("b")).where("a != b").select("key")
-    shared = bands.join(several, "key", "left_semi")
-    other = shared.select("key", F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    pairs = shared.join(other, "key").where("struct(c1, c2) < struct(d1, d2)").select("c1", "c2", "d1", "d2").distinct()
-    needed = texts.join(pairs.select(*_CLASS).union(pairs.select("d1", "d2")).distinct(), _CLASS, "left_semi")
-    b = needed.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("t").alias("u"))
-    full = pairs.join(needed, _CLASS).join(b, ["d1", "d2"]).select("c1", "c2", "d1", "d2", "t", "u")
-    return vec.map_steps(full, verify, "c1 bigint, c2 bigint, d1 bigint, d2 bigint, similarity double", "t")
+    vec.shared_dir(held.sparkSession)
+    whole = Window.partitionBy("key")
+    spread = bands(held, multiset).withColumn("a", F.min("c").over(whole)).withColumn("b", F.max("c").over(whole)).where("a < b")
+    shared = spread.select("key", "c").distinct().checkpoint()
+    pairs = shared.join(shared.withColumnRenamed("c", "d"), "key").where("c < d").select("c", "d").distinct().checkpoint()
+    needed = pairs.select("c").union(pairs.select("d")).distinct()
+    if needed.count() <= BROADCAST_CLASSES:
+        needed = F.broadcast(needed)
+    texts = held.select("c", "t").join(needed, "c", "left_semi").groupBy("c").agg(F.max("t").alias("t"))
+    full = pairs.join(texts, "c").join(texts.select(F.col("c").alias("d"), F.col("t").alias("u")), "d").select("c", "d", "t", "u")
+    return vec.map_steps(full, verify, "c bigint, d bigint, similarity double", "t")
 
 
 def similar_pairs(docs: DataFrame, id_col: str = "id", text: str = "text", threshold: float = THRESHOLD, multiset: bool = False) -> DataFrame:
     """id_a < id_b of all pairs of ids at least that similar, copies included."""
     held = prepared(docs, id_col, text)
-    members = held.select("id", *_CLASS).distinct()
-    left = members.withColumnRenamed("id", "a")
-    right = members.select(F.col("id").alias("b"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    across = class_links(held, threshold, multiset).join(left, _CLASS).join(right, ["d1", "d2"]).select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
-    within = left.join(members.withColumnRenamed("id", "b"), _CLASS).where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+    members = held.select("id", "c").distinct()
+    left = members.select(F.col("id").alias("a"), "c")
+    right = members.select(F.col("id").alias("b"), F.col("c").alias("d"))
+    across = class_links(held, threshold, multiset).join(left, "c").join(right, "d").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+    within = left.join(members.select(F.col("id").alias("b"), "c"), "c").where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
     return across.unionByName(within).where("id_a < id_b").distinct()
 
 
@@ -221,13 +238,11 @@ def groups(docs: DataFrame, id_col: str = "id", text: str = "text", threshold: f
     other classes the record is similar to. Null and short texts are groups of their own.
     """
     held = prepared(docs, id_col, text)
-    vec.shared_dir(docs.sparkSession)
-    links = class_links(held, threshold).select(F.struct("c1", "c2").alias("a"), F.struct(F.col("d1").alias("c1"), F.col("d2").alias("c2")).alias("b")).checkpoint()
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
-    roots = components(links)
-    members = held.select("id", F.struct(*_CLASS).alias("node")).distinct()
-    rooted = members.join(roots, "node", "left").join(degree, "node", "left").select("id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    rest = docs.select(docs[id_col].alias("id")).distinct()
-    joined = rest.join(rooted, "id", "left")
-    group = F.when(F.col("root").isNull(), F.concat(F.lit("alone:"), F.col("id").cast("string"))).otherwise(F.concat(F.hex("root.c1"), F.hex("root.c2")))
+    links = class_links(held, threshold).select("c", "d").checkpoint()
+    degree = links.select("c").union(links.select("d")).groupBy("c").agg(F.count("*").alias("n_links"))
+    roots = components(links, "c", "d").select(F.col("node").alias("c"), "root")
+    members = held.select("id", "c").distinct()
+    rooted = members.join(roots, "c", "left").join(degree, "c", "left").select("id", F.coalesce("root", "c").alias("root"), "n_links")
+    joined = docs.select(docs[id_col].alias("id")).distinct().join(rooted, "id", "left")
+    group = F.when(F.col("root").isNull(), F.concat(F.lit("alone:"), F.col("id").cast("string"))).otherwise(F.hex("root"))
     return joined.select("id", group.alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

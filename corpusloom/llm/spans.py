@@ -19,41 +19,49 @@ from pyspark.sql import functions as F
 from . import vec
 
 LEAST_SPAN = 160
-_CLASS = ["c1", "c2"]
+#: Positions that are broadcast to the scan of the texts at most; more of them are joined by a shuffle.
+BROADCAST_POSITIONS = 2_000_000
 
 
 def _class_members(docs: DataFrame, id_col: str, text: str, span: int) -> DataFrame:
     long = docs.where(F.length(docs[text]) >= span)
-    return long.select(docs[id_col].alias("id"), F.xxhash64(docs[text]).alias("c1"), F.xxhash64(F.lit(7), docs[text]).alias("c2"), docs[text].alias("text"))
+    return long.select(docs[id_col].alias("id"), F.xxhash64(docs[text]).alias("c"), docs[text].alias("text"))
 
 
 def _anchors(texts: DataFrame, width: int, span: int) -> DataFrame:
-    """c1, c2, pos, h of each text's anchors. Where texts has a column near (start positions of surviving windows of half
+    """c, pos, h of each text's anchors. Where texts has a column near (start positions of surviving windows of half the
 
-    the width), only those that share a stretch of ``span`` with one of them. At width = span each window is its own.
+    width), only those that share a stretch of ``span`` with one of them. At width = span each window is its own. A
+    task treats a text once, however many copies of it it sees.
     """
     limited = "near" in texts.columns
 
     def make():
+        seen: set[int] = set()
+
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            chars, offsets = vec.codepoints(batch.column(2))
+            fresh = []
+            for k, c in enumerate(batch.column(0).to_pylist()):
+                if c not in seen:
+                    seen.add(c)
+                    fresh.append(k)
+            batch = batch.take(pa.array(fresh, pa.int32()))
+            chars, offsets = vec.codepoints(batch.column(1))
             n = len(chars) - width + 1
-            columns = [batch.column(0), batch.column(1)]
             if n <= 0:
                 return None
             h = vec.window_hashes(chars, width)
             room = offsets[1:] - width  # last start in each row
             if limited:
-                lists = batch.column(3)
-                near = lists.flatten().to_numpy() + np.repeat(offsets[:-1], lists.value_lengths().to_numpy())
-                row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-                half = width // 2
+                lists = batch.column(2)
+                count = lists.value_lengths().to_numpy()
+                near = lists.flatten().to_numpy() + np.repeat(offsets[:-1], count)
+                row = np.repeat(np.arange(batch.num_rows), count)
                 edge = np.zeros(len(chars) + 1, np.int32)
-                np.add.at(edge, np.maximum(near + half - span, offsets[row]), 1)
+                np.add.at(edge, np.maximum(near + width // 2 - span, offsets[row]), 1)
                 np.add.at(edge, np.minimum(near + span, offsets[row + 1]), -1)
-                inside = np.cumsum(edge[:-1]) > 0
+                total = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
             if width == span:
-                total = np.concatenate([[0], np.cumsum(inside)])
                 pos = np.flatnonzero(total[width:] - total[:n] == width) if limited else np.arange(n)
                 row = np.searchsorted(offsets, pos, "right") - 1
                 pos, row = pos[pos <= room[row]], row[pos <= room[row]]
@@ -65,15 +73,14 @@ def _anchors(texts: DataFrame, width: int, span: int) -> DataFrame:
                 row = np.searchsorted(offsets, start, "right") - 1
                 ok = start + span <= offsets[row + 1]
                 if limited:
-                    total = np.concatenate([[0], np.cumsum(inside)])
                     ok &= total[start + span] - total[start] == span
                 pos = _argmins(h, least, np.flatnonzero(ok), stretch)
                 row = np.searchsorted(offsets, pos, "right") - 1
-            return pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in columns), pa.array((pos - offsets[row]).astype(np.int32)), pa.array(h[pos].view(np.int64))], ["c1", "c2", "pos", "h"])
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array((pos - offsets[row]).astype(np.int32)), pa.array(h[pos].view(np.int64))], ["c", "pos", "h"])
 
         return run
 
-    return vec.map_steps(texts.select("c1", "c2", "text", *["near"] * limited), make, "c1 bigint, c2 bigint, pos int, h bigint")
+    return vec.map_steps(texts.select("c", "text", *["near"] * limited), make, "c bigint, pos int, h bigint")
 
 
 def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int) -> np.ndarray:
@@ -90,61 +97,58 @@ def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int)
 
 
 def _surviving(anchors: DataFrame) -> DataFrame:
-    """The anchors whose hash occurs in two classes, as c1, c2, near (positions; at most those of one text)."""
-    who = F.struct(*_CLASS)
-    several = anchors.groupBy("h").agg(F.min(who).alias("a"), F.max(who).alias("b")).where("a != b").select("h")
-    return anchors.join(several, "h", "left_semi").groupBy(_CLASS).agg(F.collect_set("pos").alias("near"))
+    """The anchors whose hash occurs in two classes, written to the shared folder. One shuffle; no group is gathered."""
+    whole = Window.partitionBy("h")
+    spread = anchors.withColumn("a", F.min("c").over(whole)).withColumn("b", F.max("c").over(whole)).where("a < b")
+    return spread.select("c", "pos", "h").distinct().checkpoint()
 
 
 def shared_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> tuple[DataFrame, DataFrame]:
-    """members (id, c1, c2) and windows (c1, c2, pos, h) of length span that occur in two classes of equal texts."""
+    """members (id, c, text) and the windows (c, pos, h) of length span that occur in two classes of equal texts."""
     held = _class_members(docs, id_col, text, span)
-    texts = held.dropDuplicates(_CLASS).select(*_CLASS, "text")
+    texts = held.select("c", "text")
+    vec.shared_dir(docs.sparkSession)
     width = max(1, span // 4)
-    anchors = _anchors(texts, width, span)
+    found = _surviving(_anchors(texts, width, span))
     while width < span:
         width = span if width * 4 > span * 2 else width * 2
-        anchors = _anchors(texts.join(_surviving(anchors), _CLASS), width, span)
-    return held.select("id", *_CLASS), anchors
+        near = found.groupBy("c").agg(F.collect_set("pos").alias("near"))  # at most the positions of one text
+        if found.count() <= BROADCAST_POSITIONS:
+            near = F.broadcast(near)
+        found = _surviving(_anchors(texts.join(near, "c"), width, span))
+    return held, found
 
 
 def _sets(windows: DataFrame) -> DataFrame:
-    """set (two sums over the classes that hold a window), c1, c2: neighbouring windows held by the same classes are one set."""
-    one = windows.select("h", *_CLASS).distinct()
-    sums = one.groupBy("h").agg(F.count("*").alias("n"), F.sum(_wide(F.xxhash64(*_CLASS))).alias("s1"), F.sum(_wide(F.xxhash64(F.lit(3), *_CLASS))).alias("s2")).where("n > 1")
-    return one.join(sums, "h").select("s1", "s2", *_CLASS).distinct()
-
-
-def _wide(h):
-    return F.shiftright(h, 20)  # sums of many don't overflow
+    """s1, s2 (two sums over the classes that hold a window), c: neighbouring windows held by the same classes are one set."""
+    one = windows.select("h", "c").distinct()
+    small = lambda h: F.shiftright(h, 20)  # noqa: E731  sums of many don't overflow
+    sums = one.groupBy("h").agg(F.sum(small(F.xxhash64("c"))).alias("s1"), F.sum(small(F.xxhash64(F.lit(3), "c"))).alias("s2"))
+    return one.join(sums, "h").select("s1", "s2", "c").distinct()
 
 
 def sharing_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> DataFrame:
     """id_a < id_b of all documents with a common span. Copies are expanded from their class, as every pair is asked for."""
-    members, windows = shared_windows(docs, id_col, text, span)
-    members = members.distinct()
-    sets = _sets(windows)
-    other = sets.select("s1", "s2", F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    classes = sets.join(other, ["s1", "s2"]).where("struct(c1, c2) < struct(d1, d2)").select("c1", "c2", "d1", "d2").distinct()
-    left = members.withColumnRenamed("id", "a")
-    right = members.select(F.col("id").alias("b"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    across = classes.join(left, _CLASS).join(right, ["d1", "d2"]).select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
-    within = left.join(members.withColumnRenamed("id", "b"), _CLASS).where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+    held, windows = shared_windows(docs, id_col, text, span)
+    members = held.select("id", "c").distinct()
+    sets = _sets(windows).checkpoint()
+    classes = sets.join(sets.withColumnRenamed("c", "d"), ["s1", "s2"]).where("c < d").select("c", "d").distinct()
+    left = members.select(F.col("id").alias("a"), "c")
+    across = classes.join(left, "c").join(members.select(F.col("id").alias("b"), F.col("c").alias("d")), "d").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+    within = left.join(members.select(F.col("id").alias("b"), "c"), "c").where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
     return across.unionByName(within).where("id_a < id_b").distinct()
 
 
 def shared_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> DataFrame:
     """id, start, end of the maximal stretches of each document that lie in spans shared with others; a copy is shared whole."""
-    members, windows = shared_windows(docs, id_col, text, span)
-    sets = windows.select("h", *_CLASS).distinct().groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    by_class = Window.partitionBy(*_CLASS).orderBy("pos")  # at most the windows of one text
-    held = windows.join(sets, "h", "left_semi").select(*_CLASS, "pos").distinct()
-    islands = held.withColumn("new", F.when(F.col("pos") > F.lag("pos").over(by_class) + span, 1).otherwise(0)).withColumn("island", F.sum("new").over(by_class))
-    spans = islands.groupBy(*_CLASS, "island").agg(F.min("pos").alias("start"), (F.max("pos") + span).alias("end")).drop("island")
-    sized = _class_members(docs, id_col, text, span).select("id", *_CLASS, F.length("text").alias("n")).distinct()
-    copied = sized.groupBy(_CLASS).agg(F.countDistinct("id").alias("ids")).where("ids > 1").select(*_CLASS)
-    whole = sized.join(copied, _CLASS, "left_semi").select("id", F.lit(0).alias("start"), F.col("n").alias("end"))
-    partly = sized.join(copied, _CLASS, "left_anti").join(spans, _CLASS).select("id", "start", "end")
+    held, windows = shared_windows(docs, id_col, text, span)
+    by_class = Window.partitionBy("c").orderBy("pos")  # at most the windows of one text
+    islands = windows.select("c", "pos").withColumn("new", F.when(F.col("pos") > F.lag("pos").over(by_class) + span, 1).otherwise(0)).withColumn("island", F.sum("new").over(by_class))
+    spans = islands.groupBy("c", "island").agg(F.min("pos").alias("start"), (F.max("pos") + span).alias("end")).drop("island")
+    sized = held.select("id", "c", F.length("text").alias("n")).distinct()
+    copied = sized.groupBy("c").agg((F.min("id") != F.max("id")).alias("copied")).where("copied").select("c")
+    whole = sized.join(copied, "c", "left_semi").select("id", F.lit(0).alias("start"), F.col("n").alias("end"))
+    partly = sized.join(copied, "c", "left_anti").join(spans, "c").select("id", "start", "end")
     return whole.unionByName(partly)
 
 
