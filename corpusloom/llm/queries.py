@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, neardup, quality, spans, splitting
+from . import bpe, encoding, lines, mixing, neardup, quality, spans, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, field, restored, complete of every garbled value."""
+    return encoding.repaired(table(spark, sf_dir, "v2_chunks").select("id", "text", "source")).dropDuplicates(["id", "field"])
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.repaired(table(spark, sf_dir, "v2_chunks").select("id", "text", "source")).select("id", "field").distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.similar_pairs(table(spark, sf_dir, "v2_chunks").select("id", "text"))
 
@@ -76,6 +85,21 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def _mixed(spark: SparkSession, sf_dir: str) -> mixing.Mix:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(bpe.count_tokens(docs, "text", bpe.VOCABULARY, "doc_id", "source"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """mix_name, source, doc_id, n_tokens, uses of every document in a mix."""
+    return _mixed(spark, sf_dir).members
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actual shares of every source in every mix beside its target."""
+    return mixing.report(_mixed(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = spans.sharing_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
@@ -92,7 +116,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p7_found, p7_stats, p8_ids, p10_found, p10_spans, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
