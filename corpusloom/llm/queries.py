@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, encoding, lines, mixing, neardup, quality, spans, splitting
+from . import bpe, encoding, lines, mixing, neardup, pairs, quality, spans, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_pieces(spark, sf_dir).where("n_pieces > 1").select("id").distinct()
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defects(table(spark, sf_dir, "sft_answers").select("id", "sft_question", "sft_answer"))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "v2_chunks").select("id", "text"), table(spark, sf_dir, "chunk_labels"), table(spark, sf_dir, "common_words"))
 
@@ -101,8 +105,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = spans.sharing_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return pairs.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
+    found = spans.sharing_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
 def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +120,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p6_found, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
