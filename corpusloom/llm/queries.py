@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, encoding, lines, mixing, neardup, pairs, quality, spans, splitting
+from . import bpe, encoding, lines, mixing, neardup, pairs, quality, scans, spans, splitting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,15 @@ def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "v2_chunks").select("id", "text"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.noisy_lines(table(spark, sf_dir, "pdf_chunks"))
+
+
+def p3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, paragraphs of every chunk."""
+    return scans.repaired(table(spark, sf_dir, "pdf_chunks"))
+
+
 #: Rows that come in later than this after they were built are the partition that is merged into the rest.
 LATE_DAYS = 7
 
@@ -120,7 +129,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p4_found, p4_clean, p5_found, p5_pieces, p6_found, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p3_found, p3_paragraphs, p4_found, p4_clean, p5_found, p5_pieces, p6_found, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
