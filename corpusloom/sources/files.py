@@ -7,9 +7,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as t
 
-PAGE = t.StructType.fromDDL("id string, title string, ns string, revision struct<id:string, text:struct<_VALUE:string>>")
+PAGE = "id string, title string, ns string, revision struct<id:string, text:struct<_VALUE:string>>"
 
 
 def read_strict(spark: SparkSession, path: str, schema: str, required: str | None = "text") -> DataFrame:
