@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
@@ -187,9 +187,7 @@ def class_links(held: DataFrame, threshold: float = THRESHOLD, multiset: bool =
         return run
 
     vec.shared_dir(held.sparkSession)
-    whole = Window.partitionBy("key")
-    spread = bands(held, multiset).withColumn("a", F.min("c").over(whole)).withColumn("b", F.max("c").over(whole)).where("a < b")
-    shared = spread.select("key", "c").distinct().checkpoint()
+    shared = vec.shared_by_two(bands(held, multiset), "key", "c").distinct().checkpoint()
     pairs = shared.join(shared.withColumnRenamed("c", "d"), "key").where("c < d").select("c", "d").distinct().checkpoint()
     needed = pairs.select("c").union(pairs.select("d")).distinct()
     if needed.count() <= BROADCAST_CLASSES:

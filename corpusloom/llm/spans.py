@@ -98,9 +98,7 @@ def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int)
 
 def _surviving(anchors: DataFrame) -> DataFrame:
     """The anchors whose hash occurs in two classes, written to the shared folder. One shuffle; no group is gathered."""
-    whole = Window.partitionBy("h")
-    spread = anchors.withColumn("a", F.min("c").over(whole)).withColumn("b", F.max("c").over(whole)).where("a < b")
-    return spread.select("c", "pos", "h").distinct().checkpoint()
+    return vec.shared_by_two(anchors, "h", "c").distinct().checkpoint()
 
 
 def shared_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> tuple[DataFrame, DataFrame]:

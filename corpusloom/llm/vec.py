@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Characters that one vectorised step works on; bounds a Python worker's memory, whatever the batch holds.
 STEP_CHARS = 400_000
@@ -137,3 +138,38 @@ def shared_dir(spark: SparkSession) -> str:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/corpusloom-checkpoints")
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
+    """The rows (of long and int columns) whose group has two members or more, wherever they are.
+
+    A task settles what it sees: rows of a group with two members in the task are kept and spread evenly; the group's
+    least and greatest member go on as its witnesses. So a hot group meets in one place with two rows a task at most,
+    besides those of tasks that saw one member of it alone. One shuffle, of which no group is gathered.
+    """
+    names = rows.columns
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held).combine_chunks()
+        g, m = table.column(group).to_numpy(), table.column(member).to_numpy()
+        order = np.lexsort((m, g))
+        gs, ms = g[order], m[order]
+        start = np.flatnonzero(np.concatenate([[True], gs[1:] != gs[:-1]]))
+        end = np.append(start[1:], len(gs)) - 1
+        several = ms[start] < ms[end]
+        known = np.zeros(len(g), bool)
+        known[order] = np.repeat(several, end - start + 1)
+        place = np.where(known, mix64(g.view(np.uint64) + np.arange(len(g), dtype=np.uint64)).view(np.int64), g)
+        witness = order[np.concatenate([start[several], end[several]])]
+        for at, role, where in ((np.arange(len(g)), known.astype(np.int8), place), (witness, np.full(len(witness), 2, np.int8), g[witness])):
+            part = table.take(pa.array(at)).append_column("__role", pa.array(role)).append_column("__place", pa.array(where))
+            yield from part.to_batches(max_chunksize=50_000)
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    marked = rows.mapInArrow(run, f"{fields}, __role tinyint, __place bigint")
+    whole = Window.partitionBy("__place")
+    met = marked.withColumn("__low", F.min(member).over(whole)).withColumn("__high", F.max(member).over(whole))
+    return met.where("__role = 1 or (__role = 0 and __low < __high)").select(*names)
