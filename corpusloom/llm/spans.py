@@ -97,8 +97,8 @@ def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int)
 
 
 def _surviving(anchors: DataFrame) -> DataFrame:
-    """The anchors whose hash occurs in two classes, written to the shared folder. One shuffle; no group is gathered."""
-    return vec.shared_by_two(anchors, "h", "c").distinct().checkpoint()
+    """The anchors whose hash occurs in two classes, written to the shared folder; some of them twice."""
+    return vec.shared_by_two(anchors, "h", "c").checkpoint()
 
 
 def shared_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> tuple[DataFrame, DataFrame]:

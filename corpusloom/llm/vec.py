@@ -140,19 +140,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+#: Rows that a task holds at most to settle groups.
+SETTLE_ROWS = 1_500_000
+
+
 def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
-    """The rows (of long and int columns) whose group has two members or more, wherever they are.
+    """The rows (of long and int columns) whose group has two members or more, wherever they are; some of them twice.
 
-    A task settles what it sees: rows of a group with two members in the task are kept and spread evenly; the group's
-    least and greatest member go on as its witnesses. So a hot group meets in one place with two rows a task at most,
-    besides those of tasks that saw one member of it alone. One shuffle, of which no group is gathered.
+    A task settles what it sees: rows of a group with two members in the task are kept and spread by a salt; rows of the
+    group's least and greatest member go on once more, without salt, as its witnesses. So a hot group meets in one place with two rows a task at most,
+    besides those of tasks that saw one member of it alone. (A long task does so for each SETTLE_ROWS rows.) One shuffle.
     """
     names = rows.columns
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
+    def settle(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).combine_chunks()
         g, m = table.column(group).to_numpy(), table.column(member).to_numpy()
         order = np.lexsort((m, g))
@@ -162,14 +163,25 @@ def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
         several = ms[start] < ms[end]
         known = np.zeros(len(g), bool)
         known[order] = np.repeat(several, end - start + 1)
-        place = np.where(known, mix64(g.view(np.uint64) + np.arange(len(g), dtype=np.uint64)).view(np.int64), g)
+        salt = np.where(known, 1 + mix64(np.arange(len(g), dtype=np.uint64)) % np.uint64(120), 0).astype(np.int8)
         witness = order[np.concatenate([start[several], end[several]])]
-        for at, role, where in ((np.arange(len(g)), known.astype(np.int8), place), (witness, np.full(len(witness), 2, np.int8), g[witness])):
-            part = table.take(pa.array(at)).append_column("__role", pa.array(role)).append_column("__place", pa.array(where))
-            yield from part.to_batches(max_chunksize=50_000)
+        for at, where in ((np.arange(len(g)), salt), (witness, np.zeros(len(witness), np.int8))):
+            yield from table.take(pa.array(at)).append_column("__salt", pa.array(where)).to_batches(max_chunksize=50_000)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n > SETTLE_ROWS:
+                yield from settle(held)
+                held, n = [], 0
+        if held:
+            yield from settle(held)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    marked = rows.mapInArrow(run, f"{fields}, __role tinyint, __place bigint")
-    whole = Window.partitionBy("__place")
+    marked = rows.mapInArrow(run, f"{fields}, __salt tinyint")
+    whole = Window.partitionBy(group, "__salt")
     met = marked.withColumn("__low", F.min(member).over(whole)).withColumn("__high", F.max(member).over(whole))
-    return met.where("__role = 1 or (__role = 0 and __low < __high)").select(*names)
+    return met.where("__salt > 0 or __low < __high").select(*names)
