@@ -97,7 +97,7 @@ def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int)
 
 
 def _surviving(anchors: DataFrame) -> DataFrame:
-    """The anchors whose hash occurs in two classes, written to the shared folder; some of them twice."""
+    """The anchors whose hash occurs in two classes, written to the shared folder."""
     return vec.shared_by_two(anchors, "h", "c").checkpoint()
 
 

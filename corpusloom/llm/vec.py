@@ -145,10 +145,10 @@ SETTLE_ROWS = 1_500_000
 
 
 def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
-    """The rows (of long and int columns) whose group has two members or more, wherever they are; some of them twice.
+    """The rows (of long and int columns) whose group has two members or more, wherever they are.
 
     A task settles what it sees: rows of a group with two members in the task are kept and spread by a salt; rows of the
-    group's least and greatest member go on once more, without salt, as its witnesses. So a hot group meets in one place with two rows a task at most,
+    group's least and greatest member go on once more, unsalted, as its witnesses. So a hot group meets in one place with two rows a task at most,
     besides those of tasks that saw one member of it alone. (A long task does so for each SETTLE_ROWS rows.) One shuffle.
     """
     names = rows.columns
@@ -165,7 +165,7 @@ def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
         known[order] = np.repeat(several, end - start + 1)
         salt = np.where(known, 1 + mix64(np.arange(len(g), dtype=np.uint64)) % np.uint64(120), 0).astype(np.int8)
         witness = order[np.concatenate([start[several], end[several]])]
-        for at, where in ((np.arange(len(g)), salt), (witness, np.zeros(len(witness), np.int8))):
+        for at, where in ((np.arange(len(g)), salt), (witness, np.full(len(witness), -1, np.int8))):
             yield from table.take(pa.array(at)).append_column("__salt", pa.array(where)).to_batches(max_chunksize=50_000)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +182,6 @@ def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     marked = rows.mapInArrow(run, f"{fields}, __salt tinyint")
-    whole = Window.partitionBy(group, "__salt")
+    whole = Window.partitionBy(group, F.greatest("__salt", F.lit(0).cast("tinyint")))
     met = marked.withColumn("__low", F.min(member).over(whole)).withColumn("__high", F.max(member).over(whole))
-    return met.where("__salt > 0 or __low < __high").select(*names)
+    return met.where("__salt > 0 or (__salt = 0 and __low < __high)").select(*names)
