@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ from . import vec
 WORD_BITS, GRAM_BITS, MOST_CONFUSIONS = 22, 22, 4_000
 #: A form is rare beside another that is this many times as frequent.
 RATIO = 15
+#: Costs, in natural logs: what a reading must gain, a split and each letter that it saves spelling, a reading that is barred.
+LEAST_GAIN, SPLIT, SPELLED, BARRED = 1e-3, 5.5, 0.5, 1e3
+#: What a changed character other than in words must gain: RATIO against a form seen once.
+SIGN_GAIN = float(np.log((RATIO + 1) / 2)) - LEAST_GAIN
 KINDS = ("hyphen", "misread", "header", "page_number")
 HYPHENS = "-¬­‐‑‒⁃﹣－"
 _BLOCKS = "■□▪▫▯�●◆＊〓"
@@ -119,9 +124,9 @@ def classify_lines(text: str, first: int | None, last: int | None, repeated: set
 
 @dataclass(frozen=True)
 class Stream:
-    """Running text of a chunk without its line ends; line[i] is the line of character i. joins: hyphens left out
+    """Running text of a chunk without its line ends; line[i] is the line of character i. joins: hyphens at line ends
 
-    (position, line, joined word, compound word)."""
+    (line, left part, right part or "", mark, position in text); only those with a right part are left out of the text."""
 
     text: str
     line: np.ndarray
@@ -141,7 +146,7 @@ def de_lined(lines: list[str], kinds: list[str]) -> Stream:
         rest = re.match(r"[A-Za-zÀ-ÿ0-9!|’']+", following)
         if m and re.search(r"[A-Za-zÀ-ÿ]", m.group(1)[-2:]) and (rest or not following):
             right = rest.group(0) if rest else ""
-            joins.append((k, m.group(1), right, m.group(2)))
+            joins.append((k, m.group(1), right, m.group(2), len(where) + m.end(1)))
             keep = m.group(1) + m.group(2) if not right else m.group(1)
             line = line[: m.start()] + keep
             glue = "" if right else ""
@@ -189,6 +194,14 @@ class Model:
     def count(self, word: str) -> int:
         return int(self.words[_word_slot(word)])
 
+    @cached_property
+    def size(self) -> int:
+        return max(int(self.words.sum(dtype=np.int64)), 1)
+
+    def cost(self, word: str, least: float = 1.0) -> float:
+        """Negative log of the word's share of the corpus; one never seen counts as seen ``least`` times."""
+        return float(np.log(self.size) - np.log(max(self.count(word), least)))
+
     def variants(self, word: str) -> list[str]:
         """The words that this one may be a misreading of."""
         out = []
@@ -202,9 +215,9 @@ class Model:
                 at = word.find(a, at + 1)
         return out
 
-    def reading(self, word: str) -> str | None:
-        """What the word was misread for, or None if it stands as it is."""
-        return _reading(self, word)
+    def edges(self, word: str) -> tuple[tuple[float, str, bool], ...]:
+        """(cost, text, misread) of the word as it stands, first, and of its readings."""
+        return _edges(self, word)
 
     def __hash__(self):
         return id(self)
@@ -214,138 +227,252 @@ class Model:
 
 
 @lru_cache(maxsize=200_000)
-def _reading(model: Model, word: str) -> str | None:
+def _edges(model: Model, word: str) -> tuple[tuple[float, str, bool], ...]:
+    stands = model.cost(word)
+    plain = ((stands, word, False),)
     if len(word) < 3 and not re.search(r"\d", word):
-        return None
+        return plain
     if re.fullmatch(r"\d+(?:st|nd|rd|th|s|er|e|e?me|mm|km|kg|m|cm|h)?", word):
-        return None
+        return plain
     if re.fullmatch(r"[0-9OolI|!SsBZz]+", word) and re.search(r"\d", word):
-        return word.translate(str.maketrans("OolI|!SsBZz", "00111155822")) if model.count(word) < 20 else None
+        if model.count(word) >= 20:
+            return plain
+        return (*plain, (stands - LEAST_GAIN, word.translate(str.maketrans("OolI|!SsBZz", "00111155822")), True))
     own = max(model.count(word), 1)
     strange = bool(re.search(r"[A-Za-zÀ-ÿ][0-9!|$@]|[0-9|$@][A-Za-zÀ-ÿ]{2}", word))
-    best, most = None, 0
+    change = 0.0 if strange else float(np.log(6 if word[0].isupper() else RATIO))
     first = model.variants(word)
-    for v in first:
-        if not re.search(r"[0-9!|$@]", v) and (n := model.count(v)) > most:
-            best, most = v, n
-    if strange and best is None:
-        for v in first:
-            for u in model.variants(v):
-                if (n := model.count(u)) > most and not re.search(r"[0-9!|$@]", u):
-                    best, most = u, n
-    if "-" in word and best is None:
-        parts = [_reading(model, p) for p in word.split("-")]
-        if any(parts):
-            return "-".join(p or o for p, o in zip(parts, word.split("-"), strict=True))
-    if strange and most >= 2:
-        return best
-    low = word.lower()
-    if best is not None and most >= max(4, RATIO * own if not word[0].isupper() else 6 * own):
-        return best
-    if strange and len(re.findall(r"[A-Za-zÀ-ÿ]", low)) >= 4 and not re.search(r"^\d", word) and own <= 3:
-        return best or word
-    return None
-
-
-def misread_positions(stream: str, model: Model) -> list[tuple[int, int, str]]:
-    """(start, end, likeliest reading) of the misread words and characters of a stream."""
-    out = []
-    for m in _TOKEN.finditer(stream):
-        word = m.group(0)
-        end = m.end()
-        while word.endswith(("!", "|")):
-            word, end = word[:-1], end - 1
-        if (best := model.reading(word)) is not None:
-            out.append((m.start(), end, best))
-    for i, c in enumerate(stream):
-        if c in _BLOCKS:
-            out.append((i, i + 1, "?"))
-    x = _points(stream)
-    n = len(x)
-    if n >= 5:
-        slots = _gram_slots(x)
-        support = model.grams[slots]
-        at = [i for i, c in enumerate(stream) if c in model.cjk]
-        for i in at:
-            low, high = max(0, i - 2), min(n, i + 3)
-            now = support[low : high - 2]
-            best = (0.0, "")
-            for y in model.cjk[stream[i]]:
-                z = x[low:high].copy()
-                z[i - low] = ord(y)
-                new = model.grams[_gram_slots(z)]
-                gains = (new >= 6) & (new >= RATIO * now)
-                losses = (now >= 4) & (now * 4 > new)
-                if gains.any() and not losses.any():
-                    best = max(best, (float(np.log((new[gains] + 1) / (now[gains] + 1)).sum()), y))
-            if best[1]:
-                out.append((i, i + 1, best[1]))
-        foreign = re.compile(r"[ぁ-ヿ]")
-        for m in foreign.finditer(stream):
-            if 0 < m.start() < n - 1 and ("一" <= stream[m.start() - 1] <= "鿿" or "一" <= stream[m.start() + 1] <= "鿿") and m.group(0) not in "・ー":
-                out.append((m.start(), m.end(), model.cjk.get(m.group(0), "?")[0]))
-    return sorted(set(out))
-
-
-def is_cut_word(left: str, right: str, mark: str, model: Model) -> bool:
-    """Whether a hyphen at a line's end cuts a word (left, right), rather than parting a compound at its own hyphen."""
-    if not right:
-        return model.count(left) < 3 and len(left) > 1 or mark not in "-‐‑"
+    found = {v for v in first if not re.search(r"[0-9!|$@]", v) and model.count(v)}
+    if strange and not found:
+        found = {u for v in first for u in model.variants(v) if not re.search(r"[0-9!|$@]", u) and model.count(u)}
+    out = [(model.cost(v) + change - LEAST_GAIN, v, True) for v in sorted(found)]
+    if "-" in word and not found:
+        gain, parts = 0.0, []
+        for part in word.split("-"):
+            own_edges = model.edges(part)
+            low = min(own_edges)
+            gain += own_edges[0][0] - low[0]
+            parts.append(low[1])
+        if gain:
+            out.append((stands - gain, "-".join(parts), True))
+    if strange and len(re.findall(r"[A-Za-zÀ-ÿ]", word)) >= 4 and not word[0].isdigit() and own <= 3:
+        out.append((stands - LEAST_GAIN, min(out)[1] if out else word, True))
+    return (*plain, *out)
+
+
+@dataclass(frozen=True)
+class Step:
+    """An edge of a best path: stream[start:end] stands for text. joins: hyphens at line ends that it takes for a cut."""
+
+    start: int
+    end: int
+    text: str
+    misread: bool = False
+    joins: tuple[int, ...] = ()
+
+
+def _half(model: Model, word: str) -> tuple[float, str, bool]:
+    """The cheapest edge of a half of a split word."""
+    return min(model.edges(word)) if len(word) >= 3 else model.edges(word)[0]
+
+
+def _splits(word: str, start: int, model: Model):
+    """(cost, steps) of the word as two words that were run together, each as it is or misread."""
+    if len(word) < 5 or not word.isalpha() or model.count(word) > 3:
+        return
+    for i in range(2, len(word) - 1):
+        if max(model.count(word[:i]), model.count(word[i:])) <= 20:
+            continue
+        left, right = _half(model, word[:i]), _half(model, word[i:])
+        if min(model.count(left[1]), model.count(right[1])) > 20:
+            at = start + i
+            yield left[0] + right[0] + SPLIT - SPELLED * len(word), (Step(start, at, left[1], left[2]), Step(at, at, " "), Step(at, start + len(word), right[1], right[2]))
+
+
+def _hyphen_edges(word: str, start: int, n: int, join: tuple, model: Model):
+    """(cost, steps) of a word over a line's end: joined (a cut, in every reading or split), or a compound."""
+    _, left, right, mark, at = join
+    i = at - start
     tail = left.rsplit("-", 1)[-1]
-    joined, compound = model.count(tail + right), model.count(f"{left}-{right}")
-    if joined or compound:
-        if joined > compound:
-            return True
-        return False if compound >= 2 or model.count(tail) and model.count(right) else True
-    fixed = model.reading(tail + right)
-    if fixed and fixed != tail + right:
-        return True
-    if mark not in "-‐‑":
-        return True
-    words = (model.count(tail), model.count(right))
-    return not (min(words) >= 3 and len(tail) > 2 and len(right) > 2)
-
-
-def decode(stream: str, model: Model) -> str:
-    """The likeliest words of a stream: each token as it is or as a reading of it, tokens merged or split.
-
-    A lattice over the tokens; its cheapest path by dynamic programming.
+    joined, compound, known = model.count(tail + right), model.count(f"{left}-{right}"), (model.count(tail), model.count(right))
+    base, cut = float(np.log(model.size)), (n,)
+    as_joined = base - np.log(max(joined, 0.5))
+    inner = model.edges(word)
+    for cost, text, misread in inner:
+        yield as_joined + (cost - inner[0][0] - (np.log(2.0) if misread and not joined else 0.0)), (Step(start, start + len(word), text, misread, cut),)
+    for cost, steps in _splits(word, start, model):
+        yield as_joined + (cost - inner[0][0]), (*steps[:-1], Step(steps[-1].start, steps[-1].end, steps[-1].text, steps[-1].misread, cut))
+    for cost, text, misread in model.edges(f"{left}-{right}")[1:]:
+        if "-" in text and model.count(text) and word == left + right:
+            yield cost, (Step(start, start + len(word), text, misread),)
+    if compound:
+        whole = base - np.log(compound) - LEAST_GAIN + (0.0 if compound >= 2 or min(known) else 1.5)
+    elif not joined and mark in "-‐‑" and min(known) >= 3 and min(len(tail), len(right)) > 2:
+        whole = base + 0.5
+    else:
+        return
+    a, b = model.edges(word[:i]), model.edges(word[i:])
+    for x in a:
+        for y in b:
+            yield whole + (x[0] - a[0][0]) + (y[0] - b[0][0]), (Step(start, at, x[1], x[2]), Step(at, at, "-"), Step(at, start + len(word), y[1], y[2]))
+
+
+def _word_path(stream: Stream, model: Model) -> list[Step]:
+    """The cheapest path over the words of a stream (Viterbi). Its nodes are the gaps between words; an edge takes a word
+
+    as it is, misread, split in two, or, over a line's end, joined or as a compound, or takes two words as one that was
+    broken. The steps that change something come out.
     """
-    fixes = {(a, b): y for a, b, y in misread_positions(stream, model)}
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(stream)]
-    out, at, k = [], 0, 0
-    cost = lambda w: -np.log(model.count(w) + 0.05)
-    while k < len(tokens):
-        a, b = tokens[k]
-        gap = stream[at:a]
-        word = fixes.get((a, b), stream[a:b])
-        choice = [(cost(word), word, 1)]
-        if k + 1 < len(tokens) and stream[b : tokens[k + 1][0]] == " ":
-            both = word + stream[tokens[k + 1][0] : tokens[k + 1][1]]
-            choice.append((cost(both) + 1.0 - min(0.0, -cost(stream[tokens[k + 1][0] : tokens[k + 1][1]])), both, 2))
-        if model.count(word) == 0 and len(word) >= 8 and word.isalpha():
-            cuts = [(cost(word[:i]) + cost(word[i:]) + 4.0, word[:i] + " " + word[i:], 1) for i in range(3, len(word) - 2) if model.count(word[:i]) > 20 and model.count(word[i:]) > 20]
-            choice += cuts
-        if len(choice) > 1 and choice[1][2] == 2:
-            second = stream[tokens[k + 1][0] : tokens[k + 1][1]]
-            if model.count(word) and model.count(second) or model.count(choice[1][1]) < 3:
-                choice.pop(1)
-        _, best, used = min(choice)
-        out += [gap, best]
-        at = tokens[k + used - 1][1]
-        k += used
-    text = "".join([*out, stream[at:]])
-    singles = [(a, b, y) for (a, b), y in fixes.items() if b - a == 1 and y != "?" and not stream[a].isascii()]
-    if singles and len(text) == len(stream):
-        chars = list(text)
-        for a, _, y in singles:
-            chars[a] = y
-        text = "".join(chars)
-    elif singles:
-        for a, _, y in singles:
-            before, after = stream[max(0, a - 2) : a], stream[a + 1 : a + 3]
-            text = text.replace(before + stream[a] + after, before + y + after, 1)
-    return text
+    text = stream.text
+    words = []
+    for m in _TOKEN.finditer(text):
+        word = m.group(0).rstrip("!|")
+        words.append((m.start(), m.start() + len(word), word))
+    hyphens = sorted((j[4], n) for n, j in enumerate(stream.joins) if j[2])
+    best: list[tuple[float, int, tuple[Step, ...]]] = [(0.0, 0, ())] + [(np.inf, 0, ())] * len(words)
+
+    def relax(k: int, to: int, cost: float, steps: tuple[Step, ...]) -> None:
+        if best[k][0] + cost < best[to][0]:
+            best[to] = (best[k][0] + cost, k, steps)
+
+    h = 0
+    over = []
+    for a, b, _ in words:
+        while h < len(hyphens) and hyphens[h][0] <= a:
+            h += 1
+        over.append([n for at, n in hyphens[h:] if at < b] if h < len(hyphens) and hyphens[h][0] < b else [])
+    for k, (a, b, word) in enumerate(words):
+        if len(over[k]) == 1:
+            for cost, steps in _hyphen_edges(word, a, over[k][0], stream.joins[over[k][0]], model):
+                relax(k, k + 1, cost, steps)
+        else:
+            for cost, one, misread in model.edges(word):
+                relax(k, k + 1, cost, (Step(a, b, one, misread, tuple(over[k])),) if misread or over[k] else ())
+            for cost, steps in _splits(word, a, model):
+                relax(k, k + 1, cost, steps)
+        if k + 1 == len(words) or over[k] or over[k + 1] or text[b : words[k + 1][0]] != " ":
+            continue
+        c, d, second = words[k + 1]
+        both, counts = word + second, (model.count(word), model.count(second))
+        if len(both) >= 5 and model.count(both) >= RATIO * max(min(counts), 1):
+            relax(k, k + 2, model.cost(both) + np.log(RATIO), (Step(b, c, ""),))
+        if len(both) >= 6 and max(counts) <= 3:
+            for cost, one, misread in model.edges(both)[1:]:
+                if model.count(one) >= RATIO * max(*counts, 1):
+                    relax(k, k + 2, cost + np.log(RATIO), (Step(a, d, one, misread),))
+    out: list[Step] = []
+    k = len(words)
+    while k:
+        _, k, steps = best[k]
+        out += steps[::-1]
+    return out[::-1]
+
+
+_KANA = re.compile(r"[ぁ-ヿ]")
+
+
+def _sign_path(text: str, model: Model) -> list[Step]:
+    """The cheapest path over the other characters (Viterbi); a node is a place with the last two characters as read.
+
+    Each three characters that a reading changes cost what their counts say: they gain where they become RATIO times as
+    frequent, and a reading is barred that makes frequent ones rare. Blocks and lone kana can't stand as they are.
+    """
+    n = len(text)
+    forced = {i for i, c in enumerate(text) if c in _BLOCKS}
+    for m in _KANA.finditer(text):
+        i = m.start()
+        if 0 < i < n - 1 and n >= 5 and ("一" <= text[i - 1] <= "鿿" or "一" <= text[i + 1] <= "鿿") and text[i] not in "・ー":
+            forced.add(i)
+    options = {i: (["?"] if c in _BLOCKS else list(model.cjk.get(c, "?"))) if i in forced else [c, *model.cjk[c]] for i, c in enumerate(text) if i in forced or n >= 5 and c in model.cjk}
+    if not options:
+        return []
+    # the counts of all threes that any choice can make, in one step
+    threes: list[tuple[int, tuple[str, str, str]]] = []
+    for i in sorted({j for at in options for j in (at, at + 1, at + 2) if 2 <= j < n}):
+        threes += [(i, t) for t in product(*(options.get(j, [text[j]]) for j in (i - 2, i - 1, i)))]
+    costs: dict[tuple[int, tuple[str, str, str]], float] = {}
+    if threes:
+        count = model.grams[_gram_slots(_points("".join("".join(t) for _, t in threes)))[::3]]
+        stored = {i: int(c) for (i, t), c in zip(threes, count, strict=True) if "".join(t) == text[i - 2 : i + 1]}
+        if lacking := [i for i in {i for i, _ in threes} if i not in stored]:  # those with a place that can't stand
+            stored |= dict(zip(lacking, map(int, model.grams[_gram_slots(_points("".join(text[i - 2 : i + 1] for i in lacking)))[::3]]), strict=True))
+        counted = {key: int(c) for key, c in zip(threes, count, strict=True)}
+        for (i, t), new in counted.items():
+            old = tuple(text[i - 2 : i + 1])
+            if t == old:
+                continue
+            fewer = (counted.get((i, u), 0) for u in product(*({x, y} for x, y in zip(t, old, strict=True))) if u != t)
+            now = max(stored[i], *fewer)  # with a part of the changes, too, so that each has to pay
+            if now >= 4 and now * 4 > new:
+                costs[i, t] = BARRED
+            elif new >= 6 and new >= RATIO * now:
+                costs[i, t] = -float(np.log((new + 1) / (stored[i] + 1)))
+    out: list[Step] = []
+    places = sorted(options)
+    k = 0
+    while k < len(places):
+        last = k
+        while last + 1 < len(places) and places[last + 1] - places[last] <= 2:
+            last += 1
+        low, high = places[k], min(places[last] + 3, n)
+        nodes: dict[tuple[str, str], tuple[float, str]] = {(text[low - 2 : low - 1] if low > 1 else "", text[low - 1 : low] if low else ""): (0.0, "")}
+        for i in range(low, high):
+            after: dict[tuple[str, str], tuple[float, str]] = {}
+            for (x, y), (cost, path) in nodes.items():
+                for z in options.get(i, [text[i]]):
+                    total = cost + costs.get((i, (x, y, z)), 0.0) + (SIGN_GAIN if z != text[i] else 0.0)
+                    if (y, z) not in after or total < after[y, z][0]:
+                        after[y, z] = (total, path + z)
+            nodes = after
+        _, path = min(nodes.values(), key=lambda v: v[0])
+        out += [Step(i, i + 1, z, True) for i, z in enumerate(path, low) if z != text[i] or i in forced]
+        k = last + 1
+    return out
+
+
+def best_path(stream: Stream, model: Model) -> list[Step]:
+    """What the likeliest reading of a stream changes, in order. Words and other characters share no cost, so that the
+
+    cheapest path through both is that of the words beside that of the rest.
+    """
+    return sorted(_word_path(stream, model) + _sign_path(stream.text, model), key=lambda s: (s.start, s.end))
+
+
+def misread_lines(stream: Stream, path: list[Step]) -> set[int]:
+    """The lines with a misread character. Where a reading has another length, the characters between those that agree."""
+    out = set()
+    for s in path:
+        if not s.misread:
+            continue
+        old, new = stream.text[s.start : s.end], s.text
+        if len(old) == len(new):
+            at = [i for i in range(len(old)) if old[i] != new[i]] or [0]
+        else:
+            head = next((i for i, (x, y) in enumerate(zip(old, new, strict=False)) if x != y), min(len(old), len(new)))
+            tail = next((i for i, (x, y) in enumerate(zip(old[:head:-1], new[:head:-1], strict=False)) if x != y), 0)
+            at = [i for i in range(head, max(len(old) - tail, head + 1)) if old[i : i + 1] != " "] or [0]
+        out |= {int(stream.line[min(s.start + i, s.end - 1)]) for i in at}
+    return out
+
+
+def cut_lines(stream: Stream, path: list[Step], model: Model) -> set[int]:
+    """The lines whose hyphen cuts a word, as the path takes it; at the end of a chunk, where no rest follows, by the left part."""
+    cut = {n for s in path for n in s.joins}
+    return {j[0] for n, j in enumerate(stream.joins) if n in cut or not j[2] and ends_cut(j[1], j[3], model)}
+
+
+def ends_cut(left: str, mark: str, model: Model) -> bool:
+    """Whether a hyphen that nothing follows cuts a word."""
+    return model.count(left) < 3 and len(left) > 1 or mark not in "-‐‑"
+
+
+def decode(stream: Stream, model: Model) -> str:
+    """The likeliest text of a stream: its best path read out. What is misread for nothing known stays."""
+    out, at = [], 0
+    for s in best_path(stream, model):
+        out += [stream.text[at : s.start], stream.text[s.start : s.end] if s.text == "?" else s.text]
+        at = s.end
+    return "".join([*out, stream.text[at:]])
 
 
 def paragraph_starts(lines: list[str], kinds: list[str]) -> list[int]:
@@ -494,12 +621,9 @@ def noisy_lines(chunks: DataFrame) -> DataFrame:
             out = []
             for key, _, kinds, stream in _streams(batch):
                 out += [(key, n, kind) for n, kind in enumerate(kinds) if kind in ("header", "page_number")]
-                out += [(key, n, "hyphen") for n, left, right, mark in stream.joins if is_cut_word(left, right, mark, model)]
-                hit = set()
-                for a, b, best in misread_positions(stream.text, model):
-                    same = len(best) == b - a
-                    hit |= {int(stream.line[i]) for i in range(a, b) if not same or stream.text[i] != best[i - a]} or {int(stream.line[a])}
-                out += [(key, n, "misread") for n in sorted(hit)]
+                path = best_path(stream, model)
+                out += [(key, n, "hyphen") for n in sorted(cut_lines(stream, path, model))]
+                out += [(key, n, "misread") for n in sorted(misread_lines(stream, path))]
             columns = list(zip(*out, strict=True)) or [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.string()), strict=True)], ["id", "line_no", "kind"])
 
@@ -522,12 +646,7 @@ def repaired(chunks: DataFrame) -> DataFrame:
                 for n, a in enumerate(starts):
                     b = starts[n + 1] if n + 1 < len(starts) else len(lines)
                     own = [k if a <= i < b else "blank" for i, k in enumerate(kinds)]
-                    stream = de_lined(lines, own)
-                    text = stream.text
-                    for _, left, right, mark in stream.joins:
-                        if right and not is_cut_word(left, right, mark, model):
-                            text = text.replace(left + right, f"{left}-{right}", 1)
-                    out.append(decode(text, model))
+                    out.append(decode(de_lined(lines, own), model))
                 ids.append(key), paragraphs.append(out)
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(paragraphs, pa.list_(pa.string()))], ["id", "paragraphs"])
 

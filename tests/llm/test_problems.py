@@ -354,6 +354,39 @@ def test_noise_found_and_repaired(spark):
     assert scans.noisy_lines(df.limit(0)).count() == 0
 
 
+def scan_model(words, threes=(), latin=None, cjk=None):
+    m = scans.Model(np.zeros(1 << scans.WORD_BITS, np.int32), np.zeros(1 << scans.GRAM_BITS, np.int32), latin or {}, cjk or {})
+    for w, n in words.items():
+        m.words[scans._word_slot(w)] += n
+    for text, n in threes:
+        m.grams[scans._gram_slots(scans._points(text))] += n
+    return m
+
+
+def scan_stream(text):
+    found = text.split("\n")
+    return scans.de_lined(found, ["text"] * len(found))
+
+
+def test_errors_of_a_stream_are_weighed_together():
+    """Words broken or run together, cut over a line's end and misread at once; two misread characters in a row."""
+    common = {"the": 5000, "in": 2000, "to": 3000, "into": 200, "logistics": 300, "reserve": 200, "battalion": 80, "medium-lift": 40}
+    m = scan_model({**common, "logi": 1, "stlcs": 1, "thclogistics": 1, "moved": 400}, latin={"l": "i", "c": "e"})
+    for text, right, misread, cut in (
+        ("the logi stlcs moved", "the logistics moved", {0}, set()),
+        ("the logi\nstlcs moved", "the logistics moved", {1}, set()),
+        ("thclogistics moved", "the logistics moved", {0}, set()),
+        ("in to the batta-\nlion in the rcs-\nerve", "in to the battalion in the reserve", {1}, {0, 1}),
+        ("the medlum-\nlift moved", "the medium-lift moved", {0}, set()),
+    ):
+        stream = scan_stream(text)
+        path = scans.best_path(stream, m)
+        assert (scans.decode(stream, m), scans.misread_lines(stream, path), scans.cut_lines(stream, path, m)) == (right, misread, cut)
+    good, bad = "今天军事训练在国防部门进行", "今天军亊绦练在国防部门进行"
+    m = scan_model({}, [(good, 400), (bad, 1)], cjk={"亊": "事", "绦": "训"})
+    assert scans.decode(scan_stream(bad), m) == good and scans.decode(scan_stream(good), m) == good
+
+
 # --- shared
 
 
