@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
-from itertools import product
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,9 @@ from . import vec
 WORD_BITS, GRAM_BITS, MOST_CONFUSIONS = 22, 22, 4_000
 #: A form is rare beside another that is this many times as frequent.
 RATIO = 15
+#: Counts that decide beside RATIO are shares: a count below is that of a corpus of so many words (threes of characters),
+#: and grows with the corpus. In a smaller one it stays, as fewer occurrences would tell nothing.
+WORDS_OF_COUNTS, THREES_OF_COUNTS = 224_000, 832_000
 #: Costs, in natural logs: what a reading must gain, a split and each letter that it saves spelling, a reading that is barred.
 LEAST_GAIN, SPLIT, SPELLED, BARRED = 1e-3, 5.5, 0.5, 1e3
 #: What a changed character other than in words must gain: RATIO against a form seen once.
@@ -163,6 +166,8 @@ def de_lined(lines: list[str], kinds: list[str]) -> Stream:
 
 _TOKEN = re.compile(r"[A-Za-zÀ-ÿ0-9!|$@]*[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9!|$@]*(?:[’'-][A-Za-zÀ-ÿ0-9!|$@]*[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9!|$@]*)*")
 
+_NUMBER = re.compile(r"(?<![A-Za-zÀ-ÿ0-9!|$@])[0-9]+(?![A-Za-zÀ-ÿ0-9!|$@])")
+
 
 def _word_slot(word: str) -> int:
     h = 1469598103934665603
@@ -184,19 +189,31 @@ def _points(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Hashed counts of words and of three characters, and the readings of a character: {seen: those it may stand for}."""
+    """Hashed counts of words and of three characters, and the readings of a character: {seen: those it may stand for}.
+
+    numbers: how many of the words are numbers, which don't count for the size of the corpus."""
 
     words: np.ndarray
     grams: np.ndarray
     latin: dict[str, str]
     cjk: dict[str, str]
+    numbers: int = 0
 
     def count(self, word: str) -> int:
         return int(self.words[_word_slot(word)])
 
     @cached_property
     def size(self) -> int:
-        return max(int(self.words.sum(dtype=np.int64)), 1)
+        return max(int(self.words.sum(dtype=np.int64)) - self.numbers, 1)
+
+    @cached_property
+    def scale(self) -> float:
+        """What a count of words that decides is multiplied by."""
+        return max(self.size / WORDS_OF_COUNTS, 1.0)
+
+    @cached_property
+    def sign_scale(self) -> float:
+        return max(int(self.grams.sum(dtype=np.int64)) / THREES_OF_COUNTS, 1.0)
 
     def cost(self, word: str, least: float = 1.0) -> float:
         """Negative log of the word's share of the corpus; one never seen counts as seen ``least`` times."""
@@ -235,9 +252,10 @@ def _edges(model: Model, word: str) -> tuple[tuple[float, str, bool], ...]:
     if re.fullmatch(r"\d+(?:st|nd|rd|th|s|er|e|e?me|mm|km|kg|m|cm|h)?", word):
         return plain
     if re.fullmatch(r"[0-9OolI|!SsBZz]+", word) and re.search(r"\d", word):
-        if model.count(word) >= 20:
+        number = word.translate(str.maketrans("OolI|!SsBZz", "00111155822"))
+        if model.count(word) >= 20 * model.scale and model.count(word) * RATIO > model.count(number):
             return plain
-        return (*plain, (stands - LEAST_GAIN, word.translate(str.maketrans("OolI|!SsBZz", "00111155822")), True))
+        return (*plain, (stands - LEAST_GAIN, number, True))
     own = max(model.count(word), 1)
     strange = bool(re.search(r"[A-Za-zÀ-ÿ][0-9!|$@]|[0-9|$@][A-Za-zÀ-ÿ]{2}", word))
     change = 0.0 if strange else float(np.log(6 if word[0].isupper() else RATIO))
@@ -255,7 +273,7 @@ def _edges(model: Model, word: str) -> tuple[tuple[float, str, bool], ...]:
             parts.append(low[1])
         if gain:
             out.append((stands - gain, "-".join(parts), True))
-    if strange and len(re.findall(r"[A-Za-zÀ-ÿ]", word)) >= 4 and not word[0].isdigit() and own <= 3:
+    if strange and len(re.findall(r"[A-Za-zÀ-ÿ]", word)) >= 4 and not word[0].isdigit() and own <= 3 * model.scale:
         out.append((stands - LEAST_GAIN, min(out)[1] if out else word, True))
     return (*plain, *out)
 
@@ -278,13 +296,13 @@ def _half(model: Model, word: str) -> tuple[float, str, bool]:
 
 def _splits(word: str, start: int, model: Model):
     """(cost, steps) of the word as two words that were run together, each as it is or misread."""
-    if len(word) < 5 or not word.isalpha() or model.count(word) > 3:
+    if len(word) < 5 or not word.isalpha() or model.count(word) > 3 * model.scale:
         return
     for i in range(2, len(word) - 1):
-        if max(model.count(word[:i]), model.count(word[i:])) <= 20:
+        if max(model.count(word[:i]), model.count(word[i:])) <= 20 * model.scale:
             continue
         left, right = _half(model, word[:i]), _half(model, word[i:])
-        if min(model.count(left[1]), model.count(right[1])) > 20:
+        if min(model.count(left[1]), model.count(right[1])) > 20 * model.scale:
             at = start + i
             yield left[0] + right[0] + SPLIT - SPELLED * len(word), (Step(start, at, left[1], left[2]), Step(at, at, " "), Step(at, start + len(word), right[1], right[2]))
 
@@ -296,7 +314,7 @@ def _hyphen_edges(word: str, start: int, n: int, join: tuple, model: Model):
     tail = left.rsplit("-", 1)[-1]
     joined, compound, known = model.count(tail + right), model.count(f"{left}-{right}"), (model.count(tail), model.count(right))
     base, cut = float(np.log(model.size)), (n,)
-    as_joined = base - np.log(max(joined, 0.5))
+    as_joined = base - np.log(max(joined, 0.5 * model.scale))
     inner = model.edges(word)
     for cost, text, misread in inner:
         yield as_joined + (cost - inner[0][0] - (np.log(2.0) if misread and not joined else 0.0)), (Step(start, start + len(word), text, misread, cut),)
@@ -306,9 +324,9 @@ def _hyphen_edges(word: str, start: int, n: int, join: tuple, model: Model):
         if "-" in text and model.count(text) and word == left + right:
             yield cost, (Step(start, start + len(word), text, misread),)
     if compound:
-        whole = base - np.log(compound) - LEAST_GAIN + (0.0 if compound >= 2 or min(known) else 1.5)
-    elif not joined and mark in "-‐‑" and min(known) >= 3 and min(len(tail), len(right)) > 2:
-        whole = base + 0.5
+        whole = base - np.log(compound) - LEAST_GAIN + (0.0 if compound >= 2 * model.scale or min(known) >= model.scale else 1.5)
+    elif not joined and mark in "-‐‑" and min(known) >= 3 * model.scale and min(len(tail), len(right)) > 2:
+        whole = base - np.log(model.scale) + 0.5
     else:
         return
     a, b = model.edges(word[:i]), model.edges(word[i:])
@@ -356,7 +374,7 @@ def _word_path(stream: Stream, model: Model) -> list[Step]:
         both, counts = word + second, (model.count(word), model.count(second))
         if len(both) >= 5 and model.count(both) >= RATIO * max(min(counts), 1):
             relax(k, k + 2, model.cost(both) + np.log(RATIO), (Step(b, c, ""),))
-        if len(both) >= 6 and max(counts) <= 3:
+        if len(both) >= 6 and max(counts) <= 3 * model.scale:
             for cost, one, misread in model.edges(both)[1:]:
                 if model.count(one) >= RATIO * max(*counts, 1):
                     relax(k, k + 2, cost + np.log(RATIO), (Step(a, d, one, misread),))
@@ -403,9 +421,9 @@ def _sign_path(text: str, model: Model) -> list[Step]:
                 continue
             fewer = (counted.get((i, u), 0) for u in product(*({x, y} for x, y in zip(t, old, strict=True))) if u != t)
             now = max(stored[i], *fewer)  # with a part of the changes, too, so that each has to pay
-            if now >= 4 and now * 4 > new:
+            if now >= 4 * model.sign_scale and now * 4 > new:
                 costs[i, t] = BARRED
-            elif new >= 6 and new >= RATIO * now:
+            elif new >= 6 * model.sign_scale and new >= RATIO * now:
                 costs[i, t] = -float(np.log((new + 1) / (stored[i] + 1)))
     out: list[Step] = []
     places = sorted(options)
@@ -463,7 +481,7 @@ def cut_lines(stream: Stream, path: list[Step], model: Model) -> set[int]:
 
 def ends_cut(left: str, mark: str, model: Model) -> bool:
     """Whether a hyphen that nothing follows cuts a word."""
-    return model.count(left) < 3 and len(left) > 1 or mark not in "-‐‑"
+    return model.count(left) < 3 * model.scale and len(left) > 1 or mark not in "-‐‑"
 
 
 def decode(stream: Stream, model: Model) -> str:
@@ -558,7 +576,7 @@ def learn(prepared: DataFrame) -> Model:
             for part in vec.steps(batch, 1):
                 for _, _, _, stream in _streams(part):
                     cut = {j[1] for j in stream.joins} | {j[2] for j in stream.joins}
-                    for w in _TOKEN.findall(stream.text):
+                    for w in chain(_TOKEN.findall(stream.text), _NUMBER.findall(stream.text)):
                         if w not in cut:
                             words[w] = words.get(w, 0) + 1
                     text = re.sub(r"\d", "0", stream.text)
@@ -596,7 +614,8 @@ def learn(prepared: DataFrame) -> Model:
     summed = counts.where("kind = 0 or length(w) = 3").mapInArrow(slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros((1 << WORD_BITS) + (1 << GRAM_BITS), np.int32)
     table[summed.column("slot").to_numpy()] = np.minimum(summed.column("n").to_numpy(), 2**31 - 1)
-    return Model(table[: 1 << WORD_BITS], table[1 << WORD_BITS :], *readings)
+    numbers = counts.where("kind = 0 and w rlike '^[0-9]+$'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return Model(table[: 1 << WORD_BITS], table[1 << WORD_BITS :], *readings, numbers)
 
 
 def _counted(words: dict[str, int], grams: dict[str, int]) -> pa.RecordBatch:

@@ -387,6 +387,18 @@ def test_errors_of_a_stream_are_weighed_together():
     assert scans.decode(scan_stream(bad), m) == good and scans.decode(scan_stream(good), m) == good
 
 
+def test_decisions_on_counts_are_the_same_at_ten_times_the_corpus():
+    common = {"the": 200_000, "of": 66_000, "11": 400, "1969": 90, "3": 10, "logistics": 300, "logi": 1, "stlcs": 1, "cut": 2}
+    forms = {"l1": 3, "l969": 2, "B52": 40, "Z46": 3, "52nd": 5, "qu4rtzzz": 2}
+    threes = [("军事训", 3), ("军亊训", 1), ("天军事", 200), ("的一是", 900_000)]
+    models = [scan_model({w: k * n for w, n in {**common, **forms}.items()}, [(t, k * n) for t, n in threes], latin={"l": "i"}, cjk={"亊": "事"}) for k in (1, 10)]
+    for text in (*forms, "the logi stlcs", "cut-", "天军亊训练"):
+        paths = [scans.best_path(scan_stream(text), m) for m in models]
+        assert paths[0] == paths[1]
+        assert scans.cut_lines(scan_stream(text), paths[0], models[0]) == scans.cut_lines(scan_stream(text), paths[1], models[1])
+    assert [m.edges("l1")[-1][1] for m in models] == ["11", "11"] and [len(m.edges("B52")) for m in models] == [1, 1]
+
+
 # --- shared
 
 
