@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from . import vec
 
-#: Bits of the hashed count tables, and confusions kept at most; both bound what is broadcast.
-WORD_BITS, GRAM_BITS, MOST_CONFUSIONS = 22, 22, 4_000
+#: Bits of the hashed count tables, which bound what is broadcast.
+WORD_BITS, GRAM_BITS = 22, 22
 #: A form is rare beside another that is this many times as frequent.
 RATIO = 15
 #: Counts that decide beside RATIO are shares: a count below is that of a corpus of so many words (threes of characters),
@@ -594,16 +594,18 @@ def learn(prepared: DataFrame) -> Model:
     latin = _confusions(counts.where("kind = 0 and length(w) between 4 and 30 and w = lower(w) and not w rlike '[0-9!|$@]'").select("w", "n"), 20)
     cjk = _confusions(counts.where("kind = 1").select("w", "n"), 20).where("seen rlike '[\\u3041-\\u30fa\\u4e00-\\u9fff]' and meant rlike '[\\u4e00-\\u9fff]'")
     def chosen(pairs: DataFrame, times: int, part: float) -> list:
-        """Those that a character mostly stands for, and, of characters that hardly occur otherwise, lesser ones."""
+        """Those that a character mostly stands for, and, of characters that hardly occur otherwise, lesser ones.
+
+        By the shares at most eight for each character, so that the alphabet bounds them."""
         both = pairs.withColumn("all", F.sum("times").over(Window.partitionBy("seen"))).withColumn("rare", F.sum("occurs").over(Window.partitionBy("seen")))
         odd = F.col("rare") >= 0.5 * F.col("everywhere")
         kept = both.where((F.col("times") >= times) & ((F.col("times") >= part * F.col("all")) | odd & (F.col("times") >= 0.12 * F.col("all"))))
-        return kept.orderBy(F.desc("times"), "seen", "meant").limit(MOST_CONFUSIONS).collect()
+        return kept.orderBy(F.desc("times"), "seen", "meant").collect()
 
     readings: list[dict[str, str]] = [{}, {}]
     for k, rows in enumerate((chosen(latin, 4, 0.12), chosen(cjk, 3, 0.5))):
         for r in rows:
-            readings[k][r["seen"]] = (readings[k].get(r["seen"], "") + r["meant"])[:4]
+            readings[k][r["seen"]] = readings[k].get(r["seen"], "") + r["meant"]
 
     def slots(batches):
         for batch in batches:

@@ -399,6 +399,18 @@ def test_decisions_on_counts_are_the_same_at_ten_times_the_corpus():
     assert [m.edges("l1")[-1][1] for m in models] == ["11", "11"] and [len(m.edges("B52")) for m in models] == [1, 1]
 
 
+def test_every_reading_of_a_character_is_learned(spark):
+    """A character that six others are misread as keeps six readings."""
+    r = random.Random(5)
+    rows = []
+    for k, sign in enumerate("甲乙丙丁戊己"):
+        for j in range(4):
+            a, b = r.sample(SIGNS, 2)
+            rows += [(f"{k}-{j}", "s", "\n".join([f"{a}{sign}{b}。"] * 40 + [f"{a}亊{b}。"]), 1, 1)]
+    model = scans.learn(scans.prepare(frame(spark, rows, "id string, source string, text string, page_start int, page_end int")))
+    assert set(model.cjk["亊"]) == set("甲乙丙丁戊己")
+
+
 # --- shared
 
 
