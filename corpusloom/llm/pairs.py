@@ -192,9 +192,11 @@ def features(question: str, answer: str, endings: Endings) -> tuple[np.ndarray,
     flat = re.sub(r"\d", "0", text.lower())
     keys = [f"H{flat[:k]}" for k in (1, 2, 3)] + [f"T{flat[-k:]}" for k in (1, 2, 3)]
     if not copied:
-        head = flat if len(flat) <= 90 else flat[:30] + "\x00" + flat[-20:]
-        keys += [f"G{head[i : i + 3]}" for i in range(len(head) - 2)]
-        keys += [f"W{w}" for w in re.findall(r"[a-zà-ÿа-яё’']+ [a-zà-ÿа-яё’']+", head)]
+        keys += [f"G{flat[i : i + 3]}" for i in range(len(flat) - 2)]
+        keys += [f"W{w}" for w in re.findall(r"[a-zà-ÿа-яё’']+ [a-zà-ÿа-яё’']+", flat)]
+        if len(flat) > 90:  # where they stand matters in a long answer
+            for at, part in (("P", flat[:30]), ("Q", flat[-20:])):
+                keys += [f"{at}{part[i : i + 3]}" for i in range(len(part) - 2)]
         if len(flat) <= 90:
             keys += [f"S{flat[i : i + 2]}" for i in range(len(flat) - 1)]
     slots = np.unique(np.array([zlib.crc32(k.encode("utf-8", "replace")) & ((1 << HASH_BITS) - 1) for k in keys], np.int64))

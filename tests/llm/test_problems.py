@@ -411,6 +411,12 @@ def test_every_reading_of_a_character_is_learned(spark):
     assert set(model.cjk["亊"]) == set("甲乙丙丁戊己")
 
 
+def test_the_middle_of_a_long_answer_reaches_the_classifier():
+    long = ["军事训练" * 20 + middle + "后勤保障" * 20 for middle in ("我无法回答这个问题", "天地玄黄宇宙洪荒日")]
+    slots = [pairs.features("问题是什么", a, pairs.Endings({}, {}))[1].tolist() for a in long]
+    assert slots[0] != slots[1]
+
+
 # --- shared
 
 
