@@ -181,7 +181,7 @@ def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
             yield from settle(held)
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    marked = rows.mapInArrow(run, f"{fields}, __salt tinyint")
-    whole = Window.partitionBy(group, F.greatest("__salt", F.lit(0).cast("tinyint")))
-    met = marked.withColumn("__low", F.min(member).over(whole)).withColumn("__high", F.max(member).over(whole))
+    marked = rows.mapInArrow(run, f"{fields}, __salt tinyint").withColumn("__part", F.greatest("__salt", F.lit(0).cast("tinyint")))
+    whole = Window.partitionBy(group, "__part")  # a column of its own: over an expression each function would get a window, and an exchange, to itself
+    met = marked.withColumns({"__low": F.min(member).over(whole), "__high": F.max(member).over(whole)})
     return met.where("__salt > 0 or (__salt = 0 and __low < __high)").select(*names)
