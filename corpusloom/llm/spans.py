@@ -40,12 +40,7 @@ def _anchors(texts: DataFrame, width: int, span: int) -> DataFrame:
         seen: set[int] = set()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fresh = []
-            for k, c in enumerate(batch.column(0).to_pylist()):
-                if c not in seen:
-                    seen.add(c)
-                    fresh.append(k)
-            batch = batch.take(pa.array(fresh, pa.int32()))
+            batch = batch.take(vec.fresh_rows(seen, batch.column(0).to_pylist()))
             chars, offsets = vec.codepoints(batch.column(1))
             n = len(chars) - width + 1
             if n <= 0:
@@ -97,8 +92,8 @@ def _argmins(h: np.ndarray, least: np.ndarray, starts: np.ndarray, stretch: int)
 
 
 def _surviving(anchors: DataFrame) -> DataFrame:
-    """The anchors whose hash occurs in two classes, written to the shared folder."""
-    return vec.shared_by_two(anchors, "h", "c").checkpoint()
+    """The anchors whose hash occurs in two classes, and whether it is hot, written to the shared folder."""
+    return vec.shared_by_two(anchors, "h", "c", "hot").checkpoint()
 
 
 def shared_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> tuple[DataFrame, DataFrame]:
@@ -118,22 +113,29 @@ def shared_windows(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def _sets(windows: DataFrame) -> DataFrame:
-    """s1, s2 (two sums over the classes that hold a window), c: neighbouring windows held by the same classes are one set."""
-    one = windows.select("h", "c").distinct()
+    """s1, s2 (two sums over the classes that hold a window), c: neighbouring windows held by the same classes are one set.
+
+    One shuffle by window serves all steps; hot windows are summed up on their own, partially before their shuffle.
+    """
     small = lambda h: F.shiftright(h, 20)  # noqa: E731  sums of many don't overflow
-    sums = one.groupBy("h").agg(F.sum(small(F.xxhash64("c"))).alias("s1"), F.sum(small(F.xxhash64(F.lit(3), "c"))).alias("s2"))
-    return one.join(sums, "h").select("s1", "s2", "c").distinct()
+
+    def summed(one: DataFrame) -> DataFrame:
+        sums = one.groupBy("h").agg(F.sum(small(F.xxhash64("c"))).alias("s1"), F.sum(small(F.xxhash64(F.lit(3), "c"))).alias("s2"))
+        return one.join(sums, "h").select("s1", "s2", "c").distinct()
+
+    cold = windows.where("not hot").select("h", "c").repartition("h").distinct()
+    return summed(cold).unionByName(summed(windows.where("hot").select("h", "c").distinct()))
 
 
 def sharing_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", span: int = LEAST_SPAN) -> DataFrame:
     """id_a < id_b of all documents with a common span. Copies are expanded from their class, as every pair is asked for."""
     held, windows = shared_windows(docs, id_col, text, span)
     members = held.select("id", "c").distinct()
-    sets = _sets(windows).checkpoint()
-    classes = sets.join(sets.withColumnRenamed("c", "d"), ["s1", "s2"]).where("c < d").select("c", "d").distinct()
+    sets = _sets(windows).distinct().checkpoint()
+    classes = vec.pairs_of(sets, ["s1", "s2"], "c", "d").select("c", "d").distinct()
     left = members.select(F.col("id").alias("a"), "c")
     across = classes.join(left, "c").join(members.select(F.col("id").alias("b"), F.col("c").alias("d")), "d").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
-    within = left.join(members.select(F.col("id").alias("b"), "c"), "c").where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+    within = vec.pairs_of(left, ["c"], "a", "b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
     return across.unionByName(within).where("id_a < id_b").distinct()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -133,40 +134,53 @@ def segment_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Makes sure that checkpoints go to the folder the cluster names; sets a local one only where none is set."""
+    """Makes sure that checkpoints go to the folder the cluster names, and are removed once nothing refers to them.
+
+    Only a local session without spark.checkpoint.dir gets a folder of its own; a cluster without one is refused, as its
+    machines share no other.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/corpusloom-checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
+    sc._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-#: Rows that a task holds at most to settle groups.
-SETTLE_ROWS = 1_500_000
+#: Rows that a task holds at most to settle groups, and rows of one group that it sends to one place at most.
+SETTLE_ROWS, GROUP_ROWS = 1_500_000, 256
 
 
-def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
+def shared_by_two(rows: DataFrame, group: str, member: str, mark: str | None = None) -> DataFrame:
     """The rows (of long and int columns) whose group has two members or more, wherever they are.
 
-    A task settles what it sees: rows of a group with two members in the task are kept and spread by a salt; rows of the
-    group's least and greatest member go on once more, unsalted, as its witnesses. So a hot group meets in one place with two rows a task at most,
-    besides those of tasks that saw one member of it alone. (A long task does so for each SETTLE_ROWS rows.) One shuffle.
+    Rows of a group meet in one place, found by one shuffle. Of a hot group, one with more than GROUP_ROWS rows and two
+    members in a task, the task already knows that it is shared: its rows are spread by a salt, and those of its least
+    and greatest member go to the meeting place once more as witnesses. So GROUP_ROWS rows of a group come from a task
+    at most. (A long task does so for each SETTLE_ROWS rows.) ``mark`` names a column that says which groups are hot.
     """
     names = rows.columns
 
     def settle(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).combine_chunks()
         g, m = table.column(group).to_numpy(), table.column(member).to_numpy()
-        order = np.lexsort((m, g))
-        gs, ms = g[order], m[order]
+        salt = np.zeros(len(g), np.int8)
+        order = np.argsort(g, kind="stable")
+        gs = g[order]
         start = np.flatnonzero(np.concatenate([[True], gs[1:] != gs[:-1]]))
-        end = np.append(start[1:], len(gs)) - 1
-        several = ms[start] < ms[end]
-        known = np.zeros(len(g), bool)
-        known[order] = np.repeat(several, end - start + 1)
-        salt = np.where(known, 1 + mix64(np.arange(len(g), dtype=np.uint64)) % np.uint64(120), 0).astype(np.int8)
-        witness = order[np.concatenate([start[several], end[several]])]
-        for at, where in ((np.arange(len(g)), salt), (witness, np.full(len(witness), -1, np.int8))):
-            yield from table.take(pa.array(at)).append_column("__salt", pa.array(where)).to_batches(max_chunksize=50_000)
+        sizes = np.diff(np.append(start, len(gs)))
+        witness = []
+        for at, n in zip(start[sizes > GROUP_ROWS], sizes[sizes > GROUP_ROWS], strict=True):
+            own = order[at : at + n]
+            low, high = own[np.argmin(m[own])], own[np.argmax(m[own])]
+            if m[low] < m[high]:
+                salt[own] = 1 + mix64(own.astype(np.uint64)) % np.uint64(120)
+                witness += [low, high]
+        for at, where in ((None, salt), (np.array(witness, np.int64), np.full(len(witness), -1, np.int8))):
+            part = table if at is None else table.take(pa.array(at))
+            yield from part.append_column("__salt", pa.array(where)).to_batches(max_chunksize=50_000)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -183,5 +197,34 @@ def shared_by_two(rows: DataFrame, group: str, member: str) -> DataFrame:
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     marked = rows.mapInArrow(run, f"{fields}, __salt tinyint").withColumn("__part", F.greatest("__salt", F.lit(0).cast("tinyint")))
     whole = Window.partitionBy(group, "__part")  # a column of its own: over an expression each function would get a window, and an exchange, to itself
-    met = marked.withColumns({"__low": F.min(member).over(whole), "__high": F.max(member).over(whole)})
-    return met.where("__salt > 0 or (__salt = 0 and __low < __high)").select(*names)
+    met = marked.withColumns({"__low": F.min(member).over(whole), "__high": F.max(member).over(whole), "__witness": F.min("__salt").over(whole)})
+    hot = [(F.col("__witness") != 0).alias(mark)] if mark else []
+    return met.where("__salt > 0 or (__salt = 0 and __low < __high)").select(*names, *hot)
+
+
+def fresh_rows(seen: set[int], values: Iterable[int], most: int = 500_000) -> pa.Array:
+    """The places of values not seen before; what is remembered is bounded, so that a long task may take a value again."""
+    if len(seen) > most:
+        seen.clear()
+    out = []
+    for k, v in enumerate(values):
+        if v not in seen:
+            seen.add(v)
+            out.append(k)
+    return pa.array(out, pa.int32())
+
+
+#: Members of a group that one task pairs with each other at most.
+PAIR_ROWS = 500
+
+
+def pairs_of(rows: DataFrame, keys: list[str], member: str, other: str) -> DataFrame:
+    """keys, member < other of each two of a group's rows. The rows of a group beyond PAIR_ROWS are cut into parts, each
+
+    of which meets all rows of the group in a place of its own: no pair is lost, and no task makes all pairs of a group.
+    """
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > PAIR_ROWS).select(*keys, F.ceil(F.col("__n") / PAIR_ROWS).cast("int").alias("__parts"))
+    split = rows.select(*keys, member).join(hot, keys, "left").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+    left = split.select(*keys, member, F.pmod(F.xxhash64(member), F.col("__parts")).cast("int").alias("__part"))
+    right = split.select(*keys, F.col(member).alias(other), F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"))
+    return left.join(right, [*keys, "__part"]).where(F.col(member) < F.col(other)).drop("__part")
