@@ -107,32 +107,34 @@ def shingle_hashes(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, n
     return vec.window_hashes(chars, size)[vec.ragged(offsets[:-1], counts)] if len(chars) >= size else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)])
 
 
+def _keyed(h: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Record (16 bits) and hash (its 48 high bits) of each shingle in one sortable number; a step has fewer records than that."""
+    return (vec.row_ids(offsets).astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16))
+
+
 def _bag(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of each record, their counts and the new offsets."""
-    record = vec.row_ids(offsets)
-    order = np.lexsort((h, record))
-    h, record = h[order], record[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (record[1:] != record[:-1])
-    first = np.flatnonzero(new)
-    counts = np.diff(np.append(first, len(h)))
-    return h[first], counts, np.searchsorted(record[first], np.arange(len(offsets)))
-
-
-def similarity(left: pa.Array, right: pa.Array, size: int = SHINGLE, multiset: bool = False) -> np.ndarray:
-    """The exact (multiset) Jaccard similarity of each pair of texts."""
-    bags = [_bag(*shingle_hashes(x, size)) for x in (left, right)]
-    if not multiset:
-        bags = [(h, np.ones_like(c), o) for h, c, o in bags]
-    h = np.concatenate([b[0] for b in bags])
-    c = np.concatenate([b[1] for b in bags])
-    record = np.concatenate([vec.row_ids(b[2]) for b in bags])
-    order = np.lexsort((h, record))
-    h, c, record = h[order], c[order], record[order]
-    both = np.flatnonzero((h[1:] == h[:-1]) & (record[1:] == record[:-1]))
-    common = np.bincount(record[both], np.minimum(c[both], c[both + 1]), len(left))
-    total = np.bincount(record, c, len(left)) - common
-    return common / np.maximum(total, 1)
+    """Distinct shingles of each record (as _keyed), their counts and the new offsets."""
+    keys = np.sort(_keyed(h, offsets))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(first, len(keys)))
+    keys = keys[first]
+    return keys, counts, np.searchsorted(keys, np.arange(len(offsets), dtype=np.uint64) << np.uint64(48))
+
+
+def similarities(left: pa.Array, right: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The exact Jaccard similarity of each pair of texts, as multisets and as sets of shingles. At most 65,536 pairs at once."""
+    (a, m, _), (b, n, _) = (_bag(*shingle_hashes(x, size)) for x in (left, right))
+    keys, counts = np.concatenate([a, b]), np.concatenate([m, n])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    both = np.flatnonzero(keys[1:] == keys[:-1])
+    record = lambda k: (k >> np.uint64(48)).astype(np.int64)
+    out = []
+    for weight, shared in ((counts, np.minimum(counts[both], counts[both + 1])), (np.ones_like(counts), np.ones(len(both), np.int64))):
+        common = np.bincount(record(keys[both]), shared, len(left))
+        total = np.bincount(record(keys), weight, len(left)) - common
+        out.append(common / np.maximum(total, 1))
+    return out[0], out[1]
 
 
 #: Classes that are broadcast at most (8 bytes each); more of them are joined by a shuffle.
@@ -145,23 +147,16 @@ def prepared(docs: DataFrame, id_col: str = "id", text: str = "text") -> DataFra
     return t.select("id", F.xxhash64("t").alias("c"), "t")
 
 
-def bands(held: DataFrame, multiset: bool = False) -> DataFrame:
-    """key, c of each band of each class. A task signs a text once, however many copies of it it sees."""
+def bands(held: DataFrame) -> DataFrame:
+    """key, c of each band of each class's bag of shingles. A task signs a text once, however many copies of it it sees."""
 
     def make():
         seen: set[int] = set()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            fresh = []
-            for k, c in enumerate(batch.column(0).to_pylist()):
-                if c not in seen:
-                    seen.add(c)
-                    fresh.append(k)
-            batch = batch.take(pa.array(fresh, pa.int32()))
-            h, offsets = shingle_hashes(batch.column(1))
-            weights = None
-            if multiset:
-                h, weights, offsets = _bag(h, offsets)
+            batch = batch.take(vec.fresh_rows(seen, batch.column(0).to_pylist()))
+            h, weights, offsets = _bag(*shingle_hashes(batch.column(1)))
+            h = vec.mix64(h & np.uint64((1 << 48) - 1))
             keys = band_keys(signatures(h, weights, offsets))
             return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), keys.shape[1]))], ["key", "c"])
 
@@ -170,8 +165,8 @@ def bands(held: DataFrame, multiset: bool = False) -> DataFrame:
     return vec.map_steps(held.select("c", "t"), make, "key bigint, c bigint", "t")
 
 
-def class_links(held: DataFrame, threshold: float = THRESHOLD, multiset: bool = False) -> DataFrame:
-    """c < d and similarity of each pair of classes (of prepared()) at least that similar.
+def class_links(held: DataFrame, threshold: float = THRESHOLD, measure: str = "multiset") -> DataFrame:
+    """c < d, multiset, set (similarities) of each pair of classes (of prepared()) whose ``measure`` reaches the threshold.
 
     One shuffle brings bands together; those of one class alone, nearly all, are dropped before pairs are made, and the
     rest is written to the shared folder, as are the distinct candidates. Both texts of a candidate are compared in
@@ -180,31 +175,31 @@ def class_links(held: DataFrame, threshold: float = THRESHOLD, multiset: bool =
 
     def verify():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            alike = similarity(batch.column(2), batch.column(3), SHINGLE, multiset)
-            out = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(alike)], ["c", "d", "similarity"])
-            return out.filter(pa.array(alike >= threshold))
+            bag, alike = similarities(batch.column(2), batch.column(3))
+            out = pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bag), pa.array(alike)], ["c", "d", "multiset", "set"])
+            return out.filter(pa.array((bag if measure == "multiset" else alike) >= threshold))
 
         return run
 
     vec.shared_dir(held.sparkSession)
-    shared = vec.shared_by_two(bands(held, multiset), "key", "c").distinct().checkpoint()
-    pairs = shared.join(shared.withColumnRenamed("c", "d"), "key").where("c < d").select("c", "d").distinct().checkpoint()
+    shared = vec.shared_by_two(bands(held), "key", "c").distinct().checkpoint()
+    pairs = vec.pairs_of(shared, ["key"], "c", "d").select("c", "d").distinct().checkpoint()
     needed = pairs.select("c").union(pairs.select("d")).distinct()
     if needed.count() <= BROADCAST_CLASSES:
         needed = F.broadcast(needed)
     texts = held.select("c", "t").join(needed, "c", "left_semi").groupBy("c").agg(F.max("t").alias("t"))
     full = pairs.join(texts, "c").join(texts.select(F.col("c").alias("d"), F.col("t").alias("u")), "d").select("c", "d", "t", "u")
-    return vec.map_steps(full, verify, "c bigint, d bigint, similarity double", "t")
+    return vec.map_steps(full, verify, "c bigint, d bigint, multiset double, set double", "t")
 
 
-def similar_pairs(docs: DataFrame, id_col: str = "id", text: str = "text", threshold: float = THRESHOLD, multiset: bool = False) -> DataFrame:
-    """id_a < id_b of all pairs of ids at least that similar, copies included."""
+def similar_pairs(docs: DataFrame, id_col: str = "id", text: str = "text", threshold: float = THRESHOLD, measure: str = "multiset") -> DataFrame:
+    """id_a < id_b of all pairs of ids at least that similar, copies included. Classes of many copies are paired in parts."""
     held = prepared(docs, id_col, text)
     members = held.select("id", "c").distinct()
     left = members.select(F.col("id").alias("a"), "c")
     right = members.select(F.col("id").alias("b"), F.col("c").alias("d"))
-    across = class_links(held, threshold, multiset).join(left, "c").join(right, "d").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
-    within = left.join(members.select(F.col("id").alias("b"), "c"), "c").where("a < b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+    across = class_links(held, threshold, measure).join(left, "c").join(right, "d").select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+    within = vec.pairs_of(left, ["c"], "a", "b").select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
     return across.unionByName(within).where("id_a < id_b").distinct()
 
 

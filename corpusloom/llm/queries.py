@@ -26,7 +26,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.similar_pairs(table(spark, sf_dir, "v2_chunks").select("id", "text"))
+    """Candidates by signatures of bags; the sets that define a case are compared last."""
+    return neardup.similar_pairs(table(spark, sf_dir, "v2_chunks").select("id", "text"), measure="set")
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,8 +137,19 @@ def test_near_duplicates(spark):
 
 
 def test_multiset_similarity():
-    got = neardup.similarity(pa.array(["aaaaaaaa"]), pa.array(["aaaaaaaaaa"]), 5, True)
-    assert got[0] == pytest.approx(4 / 6) and neardup.similarity(pa.array(["aaaaaaaa"]), pa.array(["aaaaaaaaaa"]))[0] == 1
+    bag, alike = neardup.similarities(pa.array(["aaaaaaaa", "abcdefg", ""]), pa.array(["aaaaaaaaaa", "abcdefh", ""]), 5)
+    assert bag.tolist() == pytest.approx([4 / 6, 0.5, 0]) and alike.tolist() == pytest.approx([1, 0.5, 0])
+
+
+def test_hot_groups_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(vec, "PAIR_ROWS", 3)
+    rows = frame(spark, [(1, k) for k in range(20)] + [(2, 5), (2, 7), (3, 1)], "k bigint, m bigint")
+    assert {tuple(r) for r in vec.pairs_of(rows, ["k"], "m", "o").collect()} == {(1, a, b) for a in range(20) for b in range(a + 1, 20)} | {(2, 5, 7)}
+    many = spark.range(4000).select(F.lit(1).cast("long").alias("g"), "id").unionByName(spark.range(3).select((F.col("id") + 5).alias("g"), "id")).unionByName(spark.range(1).select(F.lit(6).cast("long").alias("g"), F.lit(9).cast("long").alias("id")))
+    got = vec.shared_by_two(many, "g", "id", "hot")
+    assert got.where("g = 1").count() == 4000 and got.where("g = 1 and not hot").count() == 0
+    assert {(r["g"], r["id"]) for r in got.where("g > 1").collect()} == {(6, 1), (6, 9)}
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
 def test_components(spark):
