@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import lexicons
+from .oracle_stages import stages
 
 _WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _INLINE = r"[ \t\r\f\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -130,9 +131,7 @@ def _weighted(c: str, weights: dict[str, int]) -> str:
 
 
 _PAIRS = "SELECT id, sft_question.question AS q, sft_answer.answer AS a, sft_question.question_type AS t, sft_question.status AS qs, sft_answer.status AS s, sft_question.risk_label AS qr, sft_answer.risk_label AS ar FROM sft_answers"
-_PHRASES = "|".join(lexicons.CONTEXT_PHRASES)
 _SQ, _SA = strip("coalesce(q, '')"), strip("coalesce(a, '')")
-_REASON = f"CASE WHEN {_SQ} = '' THEN 'missing_question' WHEN {_SA} = '' THEN 'missing_answer' WHEN coalesce(qs NOT IN ('', 'ok'), false) OR coalesce(s NOT IN ('', 'ok'), false) THEN 'bad_status' END"
 _RISKS = ", ".join(map(_q, lexicons.RISK_LABELS))
 _MARKS = lexicons.SENTENCE_ENDS
 _HEAD = f"left({compact(_T)}, 6000)"
@@ -213,14 +212,7 @@ SELECT dataset_source, count(*) AS chunks, CAST(coalesce(sum(length(text)), 0) A
     "url_normal": """
 SELECT DISTINCT id, CASE WHEN regexp_matches(u, '^(?i)https?://[^/?]+') THEN lower(regexp_extract(u, '^(?i)(https?://[^/?]+)', 1)) || regexp_replace(u, '^(?i)https?://[^/?]+', '') END AS url,
   coalesce(regexp_matches(url, '^(?i)https?://[^/?#]+/wiki/'), false) AS wiki FROM (SELECT id, url, regexp_replace(trim(url), '#.*$', '') AS u FROM v2_chunks)""",
-    "question_checks": f"""
-SELECT DISTINCT id, CASE WHEN x = '' THEN 0 WHEN {has("x", _PHRASES)} OR length(x) < 8 THEN 2 ELSE -1 END AS score, CASE WHEN x = '' THEN 'drop' WHEN {has("x", _PHRASES)} OR length(x) < 8 THEN 'rewrite' END AS action,
-  CASE WHEN x = '' THEN 'empty' WHEN {has("x", _PHRASES)} THEN 'dependent_context' WHEN length(x) < 8 THEN 'too_short' END AS issue FROM (SELECT id, {_SQ} AS x FROM ({_PAIRS}))""",
-    "answer_checks": f"""
-SELECT DISTINCT id, CASE WHEN x = '' OR y = '' THEN 0 ELSE 3 END AS score, CASE WHEN x = '' THEN 'empty_question' WHEN y = '' THEN 'empty' WHEN {has("y", _PHRASES)} THEN 'dependent_context' ELSE 'too_short' END AS issue
-FROM (SELECT id, {_SQ} AS x, {_SA} AS y FROM ({_PAIRS})) WHERE x = '' OR y = '' OR {has("y", _PHRASES)} OR length(y) < 20""",
     "pair_risks": f"SELECT DISTINCT id, CASE WHEN ar IN ({_RISKS}) THEN ar WHEN qr IN ({_RISKS}) THEN qr ELSE 'public_safe' END AS risk FROM ({_PAIRS})",
-    "export_reasons": f"SELECT coalesce({_REASON}, 'exported') AS reason, coalesce(nullif(t, ''), 'unknown') AS question_type, count(*) AS n FROM ({_PAIRS}) GROUP BY 1, 2",
     "label_numbers": """
 SELECT CASE side WHEN 'fact' THEN 'F' WHEN 'operation' THEN 'O' ELSE 'X' END || lpad(CAST(row_number() OVER (PARTITION BY side ORDER BY source_path, level1, level2, level3) AS VARCHAR), 4, '0') AS label_id, side, source_path, level1, level2, level3 FROM taxonomy_leaves""",
     "label_candidates": f"""
@@ -232,3 +224,4 @@ s AS (SELECT id, label_id, CAST(8 * (CAST(contains(t, l1) AS INTEGER) + CAST(con
 r AS (SELECT id, label_id, CAST(score AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, label_id) AS INTEGER) AS rank FROM s)
 SELECT * FROM r WHERE rank <= 10""",
 }
+ORACLE |= stages(_PAIRS, _SQ, _SA)

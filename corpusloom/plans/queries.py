@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import lexicons
 from ..functions import text as T
 from ..operators import chunking, html, instruct, prefilter, relational, taxonomy
+from . import replies
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -298,16 +299,94 @@ def _pairs(a):
     return a.select("id", q["question"].alias("q"), s["answer"].alias("a"), q["question_type"].alias("t"), q["status"].alias("qs"), s["status"].alias("s"), q["risk_label"].alias("qr"), s["risk_label"].alias("ar"))
 
 
+def _verdict_columns(c, *names):
+    return [F.array_join(c["issues"], ",").alias("issues"), *(c[k].alias(k) for k in ("score", "pass_filter", "quality_level", "reason", "suggested_action", "risk_label", "status", *names))]
+
+
+def _replies(a, reply):
+    """Rows with raw, a reply as a variant."""
+    return a.selectExpr("*", *replies.NUMBERS).withColumn("raw", F.try_parse_json(F.expr(reply)))
+
+
 @query("sft_answers")
 def question_checks(a):
     c = instruct.question_check(F.col("q"))
-    return _pairs(a).select("id", F.coalesce(c["score"], F.lit(-1)).alias("score"), c["suggested_action"].alias("action"), c["issue"].alias("issue")).distinct()
+    return _pairs(a).where(c.isNotNull()).select("id", *_verdict_columns(c, "rewrite_suggestion")).distinct()
 
 
 @query("sft_answers")
 def answer_checks(a):
     c = instruct.answer_check(F.col("q"), F.col("a"))
-    return _pairs(a).select("id", c["score"].alias("score"), c["issue"].alias("issue")).where("score is not null").distinct()
+    return _pairs(a).where(c.isNotNull()).select("id", *_verdict_columns(c, "answer_issue_type")).distinct()
+
+
+@query("sft_answers")
+def question_evals(a):
+    rows = _replies(a, replies.VERDICT).select("id", instruct.question_eval(F.col("raw"), 7).alias("v"))
+    return rows.select("id", *_verdict_columns(F.col("v"), "rewrite_suggestion")).distinct()
+
+
+@query("sft_answers")
+def answer_evals(a):
+    rows = _replies(a, replies.VERDICT).select("id", instruct.answer_eval(F.col("raw"), 7).alias("v"))
+    return rows.select("id", *_verdict_columns(F.col("v"), "answer_issue_type")).distinct()
+
+
+def _plan_text(plan):
+    return F.array_join(F.transform(plan, lambda p: F.concat_ws(":", p["question_type"], p["count"].cast("string"), p["reason"])), ",")
+
+
+@query("sft_answers")
+def material_evals(a):
+    v = F.col("v")
+    rows = _replies(a, replies.EVAL).select("id", instruct.material_eval(F.col("raw")).alias("v"))
+    return rows.select("id", v["recommended_question_count"].alias("n"), F.array_join(v["recommended_question_types"], ",").alias("types"), _plan_text(v["question_type_plan"]).alias("plan"), F.array_join(v["issues"], ",").alias("issues"), v["reason"].alias("reason"), v["suggested_use"].alias("suggested_use"), v["question_count_reason"].alias("why")).distinct()
+
+
+@query("sft_answers")
+def capped_plans(a):
+    return _replies(a, replies.EVAL).select("id", _plan_text(instruct.capped_plan(F.col("raw"), 3)).alias("plan")).distinct()
+
+
+@query("sft_answers")
+def normal_questions(a):
+    """Questions of replies with the type planned for the row, two at most."""
+    made = instruct.normal_questions(F.col("raw"), F.array(F.coalesce("planned_question_type", F.lit(""))), F.lit(2), F.col("sft_question.risk_label"), F.col("sft_question.target_label_id"))
+    rows = _replies(a, replies.QUESTIONS).select("id", "created_at", F.posexplode(made).alias("place", "x"))
+    return rows.select("id", "place", "x.*").distinct()
+
+
+@query("sft_answers")
+def normal_answers(a):
+    return _replies(a, replies.ANSWER).select("id", instruct.normal_answer(F.col("raw")).alias("v")).select("id", "v.*").distinct()
+
+
+@query_all
+def classifications(read):
+    """Replies to the first candidates of the catalog."""
+    leaves = read("taxonomy_leaves").where("side = 'fact'").orderBy("label_id").limit(5)
+    few = leaves.agg(F.array_sort(F.collect_list(F.struct("label_id", "full_path"))).alias("candidates"))
+    v = F.col("v")
+    rows = _replies(read("sft_answers"), replies.CHOICE).join(F.broadcast(few)).select("id", instruct.classification(F.col("raw"), F.col("candidates")).alias("v"))  # one row
+    return rows.select("id", v["primary"]["label_id"].alias("label_id"), v["primary"]["full_path"].alias("full_path"), F.array_join(v["task_types"], ",").alias("tasks"), F.array_join(v["evidence_keywords"], ",").alias("words"), F.array_join(v["candidate_label_ids"], ",").alias("offered"), *(v[k].alias(k) for k in ("source_type", "risk_label", "confidence", "reason", "status"))).distinct()
+
+
+@query("sft_answers")
+def admissions(a):
+    """Which stage takes which row; the verdict on a question is the one that needs no judge."""
+    p, c = _pairs(a), instruct.question_check(F.col("q"))
+    three = (F.col("q"), F.col("qs"), F.col("qr"))
+    labels = instruct.admitted_to_labels(*three, c["pass_filter"], c["score"], 0)
+    scored = instruct.admitted_to_labels(*three, F.lit(None).cast("boolean"), c["score"], 2)
+    return p.select("id", instruct.admitted(*three, empty_too=True, any_status=True).alias("filter"), instruct.admitted(*three).alias("answers"), instruct.admitted(*three, refused_too=True).alias("answers_all"), labels.alias("labels"), scored.alias("labels_of_two")).distinct()
+
+
+@query_all
+def stage_input(read):
+    """The next hundred questions to answer: admitted, not answered yet, in order of id."""
+    rows = _pairs(read("sft_answers"))
+    done = rows.where("s = 'ok'").where(F.length("a") > 200).select("id")
+    return instruct.stage_rows(rows.select("id", "q", "qs", "qr").distinct(), instruct.admitted(F.col("q"), F.col("qs"), F.col("qr")), done, 100, "id").select("id")
 
 
 @query("sft_answers")
@@ -315,16 +394,31 @@ def pair_risks(a):
     return _pairs(a).select("id", instruct.pair_risk(F.col("ar"), F.col("qr")).alias("risk")).distinct()
 
 
+def _exported(a):
+    """Rows with verdicts and skip reason: the judge's of the answer, and the one of the question that needs none."""
+    rows = _replies(a, replies.VERDICT).select("*", instruct.answer_eval(F.col("raw"), 3).alias("av"), instruct.question_check(F.col("sft_question.question")).alias("qv"))
+    q, s = F.col("sft_question"), F.col("sft_answer")
+    reason = instruct.skip_reason(q["question"], s["answer"], [q["status"], s["status"]], (F.col("av.pass_filter"), F.col("qv.pass_filter")))
+    return rows.withColumn("skip", reason)
+
+
 @query("sft_answers")
 def export_reasons(a):
-    reason = F.coalesce(instruct.skip_reason(F.col("q"), F.col("a"), [F.col("qs"), F.col("s")]), F.lit("exported"))
-    return _pairs(a).groupBy(reason.alias("reason"), F.coalesce(F.nullif("t", F.lit("")), F.lit("unknown")).alias("question_type")).agg(F.count("*").alias("n"))
+    p = _exported(a)
+    return p.groupBy(F.coalesce("skip", F.lit("exported")).alias("reason"), F.coalesce(F.nullif("sft_question.question_type", F.lit("")), F.lit("unknown")).alias("question_type")).agg(F.count("*").alias("n"))
+
+
+@query("sft_answers")
+def export_counters(a):
+    p = _exported(a)
+    return instruct.export_counts(p, F.col("skip"), question_type=F.col("sft_question.question_type"), answer_score=F.col("av.score"), question_score=F.col("qv.score"))
 
 
 @query("sft_answers")
 def chat_rows(a):
     rows = _pairs(a).where(instruct.skip_reason(F.col("q"), F.col("a"), [F.col("qs"), F.col("s")]).isNull())
-    return rows.select("id", F.to_json(F.struct(instruct.chat_messages(F.col("q"), F.col("a"), "").alias("messages"))).alias("line")).distinct()
+    turns = instruct.chat_messages(F.col("q"), F.col("a"), "要准确")
+    return rows.select("id", F.posexplode(turns).alias("place", "x")).select("id", "place", "x.role", "x.content").distinct()
 
 
 @query("sft_answers")

@@ -150,28 +150,57 @@ def test_relevance(spark):
 
 @pytest.mark.parametrize("total, counts", [(3, [2, 1]), (1, [1]), (6, [2, 4]), (0, []), (None, [])])
 def test_plan_counts(spark, total, counts):
-    plan = [("qa", 2, None), ("unknown", 3, None), ("summary", None, "r")]
-    df = spark.createDataFrame([(plan, total)], f"p {instruct.PLAN}, n int")
-    got = df.select(instruct.normal_plan(F.col("p"), F.col("n")).alias("x")).first()["x"]
+    plan = '[{"question_type": "qa", "count": 2}, {"question_type": "unknown", "count": 3}, {"question_type": "summary", "count": null, "reason": "r"}]'
+    df = spark.createDataFrame([(plan, total)], "p string, n int")
+    got = df.select(instruct.normal_plan(instruct.plan_items(F.try_parse_json("p")), F.col("n")).alias("x")).first()["x"]
     assert [i["count"] for i in got] == counts
 
 
 def test_plan_fallback_and_expand(spark):
-    df = spark.createDataFrame([("m", ["qa", "zz", "plan", "qa"], 4)], "id string, types array<string>, n int")
+    df = spark.createDataFrame([("m", ["qa", "plan"], 4)], "id string, types array<string>, n int")
     df = df.withColumn("plan", instruct.normal_plan(F.lit(None).cast(instruct.PLAN), F.col("n"), F.col("types")))
     rows = instruct.expand(df.select("id", "plan"), instruct.type_sequence(F.col("plan"))).collect()
     assert [(r["id"], r["question_index"], r["planned_question_type"]) for r in rows] == [("m#q0001", 1, "qa"), ("m#q0002", 2, "plan"), ("m#q0003", 3, "plan"), ("m#q0004", 4, "plan")]
 
 
-@pytest.mark.parametrize("raw, score", [("7", 7), ("6.5", 6), ("7.5", 8), (None, 0), ("x", 0), ("-1", 0), ("11", 10)])
+def test_plan_without_anything(spark):
+    got = spark.range(1).select(instruct.normal_plan(F.lit(None).cast(instruct.PLAN), F.lit(3)).alias("x")).first()["x"]
+    assert [(i["question_type"], i["count"], i["reason"]) for i in got] == [("qa", 3, lexicons.FALLBACK_REASON)]
+
+
+def replies_of(spark, *rows):
+    return spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, r string").withColumn("v", F.try_parse_json("r"))
+
+
+@pytest.mark.parametrize("raw, score", [('"7"', 7), ("6.5", 6), ("7.5", 8), ("null", 0), ('"x"', 0), ("-1", 0), ("11", 10), ("true", 1), ('"7d"', 0), ("[3]", 0), ('" 8 "', 8)])
 def test_scores(spark, raw, score):
-    assert spark.createDataFrame([(raw,)], "s string").select(instruct.score_of(F.col("s"))).first()[0] == score
+    assert replies_of(spark, f'{{"s": {raw}}}').select(instruct.score_of(instruct.field(F.col("v"), "s"))).first()[0] == score
 
 
 def test_judge(spark):
-    df = spark.createDataFrame([({"score": "8", "pass_filter": "yes", "risk_label": "odd"},), ({"score": "6", "pass_filter": "true"},), (None,)], "m map<string,string>")
-    rows = [r["v"] for r in df.select(instruct.judged(F.col("m"), 7, F.lit(False)).alias("v")).collect()]
-    assert [r["pass_filter"] for r in rows] == [True, False, False] and rows[0]["risk_label"] == "needs_caution" and rows[1]["suggested_action"] == "rewrite"
+    df = replies_of(spark, '{"score": 8, "pass_filter": " Yes", "risk_label": "odd"}', '{"score": 6, "pass_filter": true}', None, '{"score": 9}', '{"score": 9, "risk_label": "refuse_or_exclude"}', '{"score": 9, "answer_issue_type": "unsafe"}', '{"score": 9, "pass_filter": "是"}').orderBy("k")
+    q = [r["x"] for r in df.select(instruct.question_eval(F.col("v"), 7).alias("x")).collect()]
+    assert [r["pass_filter"] for r in q] == [True, False, False, True, False, True, False]
+    assert q[0]["risk_label"] == "needs_caution" and q[1]["suggested_action"] == "drop" and [r["quality_level"] for r in q[:4]] == ["良好", "可用", "不可用", "优秀"]
+    a = [r["x"]["pass_filter"] for r in df.select(instruct.answer_eval(F.col("v"), 7).alias("x")).collect()]
+    assert a == [True, False, False, True, True, False, False]
+
+
+def test_untyped_values(spark):
+    df = replies_of(spark, '{"a": true}', '{"a": false}', '{"a": 0}', '{"a": 1.5}', '{"a": []}', '{"a": ["x", null, 2]}', '{"a": "[]"}', '{"a": null}', "{}").orderBy("k")
+    a = instruct.field(F.col("v"), "a")
+    got = df.select(instruct.text_of(a).alias("t"), instruct.texts_of(a).alias("l"), instruct.flag_of(a, F.lit(True)).alias("f")).collect()
+    assert [r["t"] for r in got] == ["True", "", "", "1.5", "", '["x",null,2]', "[]", "", ""]
+    assert got[5]["l"] == ["x", "None", "2"] and got[6]["l"] == ["[]"] and got[0]["l"] == []
+    assert [r["f"] for r in got] == [True, False, False, True, False, True, False, False, True]
+
+
+def test_questions_of_a_reply(spark):
+    df = replies_of(spark, '{"questions": [{"question": "根据材料：  甲"}, {"question": "甲"}, {"question": "材料中的乙"}]}', None).orderBy("k")
+    made = instruct.normal_questions(F.col("v"), F.array(F.lit("plan")), F.lit(5), F.lit("needs_caution"), F.lit("L"))
+    rows = [r[0] for r in df.select(made).collect()]
+    assert [(x["question"], x["question_type"], x["risk_label"], x["target_label_id"]) for x in rows[0]] == [("甲", "plan", "needs_caution", "L"), ("材料中的乙", "qa", "needs_caution", "L")]
+    assert [(x["question"], x["status"]) for x in rows[1]] == [("", "empty_question")]
 
 
 @pytest.mark.parametrize("reply, ok", [('```json\n{"a": 1}\n```', True), ('text {"a": 1} more', True), ("no json", False), (None, False), ('{"a": ', False)])
@@ -182,14 +211,15 @@ def test_extract_json(spark, reply, ok):
 
 def test_pair_checks(spark):
     df = spark.createDataFrame([("", "x"), ("问题" * 4, "短"), ("根据材料回答问题", "答" * 30), ("问" * 7, "答" * 20), ("问" * 8, "答" * 20), (None, None)], "q string, a string")
-    q = [r[0] and r[0]["issue"] for r in df.select(instruct.question_check(F.col("q"))).collect()]
-    a = [r[0] and r[0]["issue"] for r in df.select(instruct.answer_check(F.col("q"), F.col("a"))).collect()]
-    assert q == ["empty", None, "dependent_context", "too_short", None, "empty"] and a == ["empty_question", "too_short", None, None, None, "empty_question"]
+    q = [r[0] and r[0]["issues"][0] for r in df.select(instruct.question_check(F.col("q"))).collect()]
+    a = [r[0] and r[0]["issues"][0] for r in df.select(instruct.answer_check(F.col("q"), F.col("a"))).collect()]
+    assert q == ["empty_question", None, "depends_on_source_context", "too_short", None, "empty_question"] and a == ["empty_question", "answer_too_short", None, None, None, "empty_question"]
 
 
 def test_export(spark):
     df = spark.createDataFrame([("q", "a", None), ("q", "a", "api_error"), ("", "a", "ok"), ("q", " ", "ok"), ("q", "a", "")], "q string, a string, s string")
     assert [r[0] for r in df.select(instruct.skip_reason(F.col("q"), F.col("a"), [F.col("s")])).collect()] == [None, "bad_status", "missing_question", "missing_answer", None]
+    assert df.limit(1).select(instruct.skip_reason(F.col("q"), F.col("a"), [], (F.lit(None).cast("boolean"), F.lit(False)))).first()[0] == "bad_status"
     turns = df.select(instruct.chat_messages(F.col("q"), F.col("a"), "sys").alias("m")).first()["m"]
     assert [x["role"] for x in turns] == ["system", "user", "assistant"]
     assert df.limit(1).select(instruct.distinct_questions(F.array(F.lit(" a"), F.lit("a"), F.lit(""), F.lit("b")), F.lit(5))).first()[0] == ["a", "b"]
