@@ -72,3 +72,8 @@ CHECK_REASONS = {
 }
 #: Reasons of a plan made from types, and of a reply without a question.
 FALLBACK_REASON, NO_QUESTION_REASON = "由推荐题型列表回退生成。", "模型未返回可用问题"
+#: Names of sites at the end of titles, of one site and of several; titles that say nothing; dates in pages.
+SITE_NAMES = ("中国军网", "解放军报", "军事", "首页")
+MANY_SITE_NAMES = ("中国军网", "国防部", "军事", "人民网", "央视网", "新华网", "新华社", "中国新闻网")
+GENERIC_TITLES = ("人民日报报系", "无标题文档", "要闻推荐\nWe Recommend", "要闻推荐 We Recommend")
+PAGE_DATE = r"20\d{2}年\d{1,2}月\d{1,2}日(?:\s*\d{1,2}:\d{2})?|20\d{2}-\d{1,2}-\d{1,2}(?:\s+\d{1,2}:\d{2})?|20\d{2}/\d{1,2}/\d{1,2}(?:\s+\d{1,2}:\d{2})?"

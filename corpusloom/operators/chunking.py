@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -223,7 +224,10 @@ def markdown_units(text: str) -> Iterator[Unit]:
 
 
 def page_units(pages: Iterable[tuple[int, str]], keep_author: bool = False) -> Iterator[Unit]:
-    """Paragraphs of (page, text): furniture, metadata and sentence ends divide them; all after the references is left out."""
+    """Paragraphs of (page, text): furniture, metadata and sentence ends divide them, blank lines don't; all after the
+
+    references is left out.
+    """
     cut = False
     for page, text in pages:
         block: list[str] = []
@@ -249,7 +253,9 @@ def page_units(pages: Iterable[tuple[int, str]], keep_author: bool = False) -> I
                 if head:
                     block.append(head)
                 break
-            if not line or any(re.search(p, line) for p in lexicons.PDF_NOISE):
+            if not line:
+                continue
+            if any(re.search(p, line) for p in lexicons.PDF_NOISE):
                 yield from take()
             elif re.match(lexicons.PDF_METADATA, line):
                 yield from take()
@@ -306,17 +312,37 @@ def chunk_raw(text: str, policy: ChunkPolicy = ChunkPolicy()) -> list[tuple[str,
     return [(t, None) for t in pack_raw([p.strip() for p in parts if len(p.strip()) >= 20], policy)]
 
 
+def page_title(source: str, units: list[Unit]) -> str:
+    """The file's name without its ending, else the first of eight paragraphs that may be one: of 4 to 120 characters, no metadata."""
+    stem = _BLANKS.sub(" ", re.sub(r"\.[^./]*$", "", source.rsplit("/", 1)[-1])).strip()
+    fit = (u.text for u in units[:8] if ink(u.text) >= 4 and not re.match(lexicons.PDF_METADATA, u.text) and len(u.text) <= 120)
+    return stem or next(fit, "")
+
+
 def chunk_pages(pages: DataFrame, policy: ChunkPolicy = ChunkPolicy(), keep_author: bool = False) -> DataFrame:
-    """source, chunk_index, text, page_start, page_end, char_count of (source, page_no, text); pages are grouped by source."""
-
-    def run(key, table):
-        rows = sorted(zip(table.column("page_no").to_pylist(), table.column("text").to_pylist(), strict=True), key=lambda r: r[0])
-        out = []
-        for u in pack_units(page_units(((p, t or "") for p, t in rows), keep_author), policy, page_span):
-            out += [(key[0].as_py(), part, *u.context, ink(part)) for part in cut_long(u.text, policy) if ink(part) >= policy.min_chars]
-        data = [(s, k, t, a, b, n) for k, (s, t, a, b, n) in enumerate(out, 1)]
-        kinds = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
-        columns = list(zip(*data, strict=True)) or [[]] * 6
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["source", "chunk_index", "text", "page_start", "page_end", "char_count"])
-
-    return pages.select("source", "page_no", "text").groupBy("source").applyInArrow(run, "source string, chunk_index int, text string, page_start int, page_end int, char_count int")
+    """id, source, title, chunk_index, text, page_start, page_end, char_count of (source, page_no, text).
+
+    Pages meet by source in the order of page_no and stream through their task: units are packed as they come, so that a
+    source, however long, is never held as a whole. Null texts are empty pages, a null source is a source of its own.
+    """
+    names = ("id", "source", "title", "chunk_index", "text", "page_start", "page_end", "char_count")
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
+
+    def chunks(source: str | None, rows: Iterable[tuple]) -> Iterator[tuple]:
+        units = page_units(((page, text or "") for _, page, text in rows), keep_author)
+        ahead = list(islice(units, 8))
+        title, k = page_title(source or "", ahead), 0
+        for u in pack_units(chain(ahead, units), policy, page_span):
+            for part in cut_long(u.text, policy):
+                if ink(part) >= policy.min_chars:
+                    k += 1
+                    yield f"{source or ''}#{k:05d}", source, title, k, part, *u.context, ink(part)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        found = (c for source, own in groupby(rows, lambda r: r[0]) for c in chunks(source, own))
+        while some := list(islice(found, 1000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], list(names))
+
+    placed = pages.select("source", "page_no", "text").repartition("source").sortWithinPartitions("source", "page_no", "text")
+    return placed.mapInArrow(run, "id string, source string, title string, chunk_index int, text string, page_start int, page_end int, char_count int")

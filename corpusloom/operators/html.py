@@ -12,23 +12,46 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import lexicons
 from ..functions import text as T
+from ..functions.shared import shared_dir
 
 
 @dataclass(frozen=True)
 class PageRules:
-    """blocks: tags whose text is a block; skipped: tags whose text is dropped; boilerplate: a block with one of these goes."""
+    """blocks: tags whose text is a block; skipped: tags whose text is dropped; boilerplate: a block with one of these goes.
+
+    titles: where a title is looked for, in order: names of meta values, 'page' (the title tag) and 'heading' (the first
+    ``most_headings`` of them). site_names go from a title's end, with the sign before them and all that follows;
+    generic_titles are none. dates, sources: names of meta values in order; the value is kept as it is written.
+    """
 
     blocks: tuple[str, ...] = ("p", "li", "h1", "h2", "h3")
     headings: tuple[str, ...] = ("h1", "h2")
     skipped: tuple[str, ...] = ("script", "style", "noscript", "svg", "iframe")
     boilerplate: tuple[str, ...] = ("责任编辑", "版权所有", "扫一扫", "Copyright")
-    title_suffix: str = r"\s*[-_|—]\s*[^-_|—]{2,20}$"
+    titles: tuple[str, ...] = ("og:title", "twitter:title", "heading", "page")
+    most_headings: int = 2
+    site_names: tuple[str, ...] = lexicons.SITE_NAMES
+    generic_titles: tuple[str, ...] = ()
+    title_chars: int = 40
+    dates: tuple[str, ...] = ("article:published_time", "pubdate", "publishdate", "publish_date", "date", "createdate")
+    sources: tuple[str, ...] = ("source", "mediaid", "author")
+    source_pattern: str = r"来源[:：]\s*([^<\n\r]{2,40})"
+    default_source: str = ""
     min_block: int = 8
     min_body: int = 120
     distinct_blocks: bool = True
 
 
+#: The rules for pages of several sites at once.
+MANY_SITES = PageRules(
+    titles=("og:title", "twitter:title", "title", "page", "heading"), most_headings=5, site_names=lexicons.MANY_SITE_NAMES, generic_titles=lexicons.GENERIC_TITLES, title_chars=50,
+    dates=("article:published_time", "pubdate", "publishdate", "publish_date", "date", "createdate", "publish-time"), sources=("source", "mediaid", "author", "og:site_name"),
+    source_pattern=r"(?:来源|稿件来源|信息来源)\s*[:：]\s*([^<\n\r]{2,60})",
+)
+
+
 class _Page(HTMLParser):
     """Collects blocks, headings, links, meta values and the title. A block that a new one interrupts is dropped."""
 
@@ -77,27 +100,40 @@ class _Page(HTMLParser):
             self.buffer.append(data)
 
 
+def _spaced(text: str) -> str:
+    return "\n".join(filter(None, (re.sub(r"[ \t　]+", " ", x).strip() for x in text.splitlines())))
+
+
+def _bare_title(title: str, rules: PageRules) -> str:
+    """A title without the names of sites at its end; a hyphen within it stays."""
+    for name in rules.site_names:
+        title = re.sub(rf"\s*[-_—|]\s*{re.escape(name)}.*$", "", title)
+    return title.strip(" -_|—")
+
+
 def parse_page(html: str, url: str, rules: PageRules) -> dict:
     page = _Page(rules)
     page.feed(html)
     page.close()
-    options = [page.meta.get("og:title"), page.meta.get("twitter:title"), *page.headings[:1], page.title]
-    titles = [re.sub(rules.title_suffix, "", t.strip()) for t in options if t]
+    places = {"heading": page.headings[: rules.most_headings], "page": [page.title]}
+    options = [_spaced(t) for k in rules.titles for t in places.get(k, [page.meta.get(k) or ""])]
+    titles = [_bare_title(t, rules) for t in options if t]
     blocks = list(dict.fromkeys(page.blocks)) if rules.distinct_blocks else page.blocks
-    title = next((t for t in titles if len(re.sub(r"\s", "", t)) >= 4), "")
+    title = next((t for t in titles if t not in rules.generic_titles and len(re.sub(r"\s", "", t)) >= 4), "")
     kept = [b for b in blocks if b != title and len(b) >= rules.min_block and not any(m in b for m in rules.boilerplate)]
-    body = "\n".join(kept)
-    stamp = next((page.meta[k] for k in ("publishdate", "pubdate", "article:published_time", "publish_time", "date") if page.meta.get(k)), "") or html
-    date = re.search(r"(20\d\d|19\d\d)[-/年.](\d{1,2})[-/月.](\d{1,2})", stamp)
-    source = next((page.meta[k] for k in ("source", "og:site_name", "author") if page.meta.get(k)), None)
-    if source is None and (m := re.search(r"来源\s*[:：]\s*([^\s<]{2,20})", html)):
-        source = m.group(1)
+    body = "\n\n".join(kept)
+    date = next((page.meta[k].strip() for k in rules.dates if page.meta.get(k)), None)
+    if date is None:
+        date = m.group(0) if (m := re.search(lexicons.PAGE_DATE, html)) else ""
+    source = next((_spaced(page.meta[k]) for k in rules.sources if page.meta.get(k)), None)
+    if source is None:
+        source = _spaced(m.group(1)) if (m := re.search(rules.source_pattern, html)) else rules.default_source
     links = [urldefrag(urljoin(url, x.strip()))[0] for x in page.links]
-    return {"title": title or re.sub(r"\s+", " ", body)[:40], "publish_date": "{}-{:0>2}-{:0>2}".format(*date.groups()) if date else None, "source": source, "text": body, "links": list(dict.fromkeys(x for x in links if x.startswith(("http://", "https://"))))}
+    return {"title": title or body.split("\n", 1)[0][: rules.title_chars], "publish_date": date, "source": source, "text": body, "links": list(dict.fromkeys(x for x in links if x.startswith(("http://", "https://"))))}
 
 
 def articles(pages: DataFrame, rules: PageRules = PageRules()) -> DataFrame:
-    """url, title, publish_date, source, text, links, is_article of (url, html). Null pages give an empty text."""
+    """url, title, publish_date, source, text, links, is_article of (url, html). Null pages give empty values."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,12 +180,16 @@ def distinct_articles(df: DataFrame) -> DataFrame:
 
 
 def frontier(links: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
-    """url, depth of what is reached over links (src, dst) from the seeds (url): breadth first, each url once."""
-    reached = seeds.select("url", F.lit(0).alias("depth")).distinct()
+    """url, depth of what is reached over links (src, dst) from the seeds (url): breadth first, each url once.
+
+    Each round is cut by a checkpoint in the shared folder.
+    """
+    shared_dir(links.sparkSession)
+    reached = seeds.select("url", F.lit(0).alias("depth")).distinct().checkpoint()
     edge = reached
     for d in range(1, depth + 1):
         step = edge.join(links, edge["url"] == links["src"]).select(F.col("dst").alias("url")).distinct()
-        edge = step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(d))
+        edge = step.join(reached.select("url"), "url", "left_anti").withColumn("depth", F.lit(d)).checkpoint()
         reached = reached.unionByName(edge)
     return reached
 

@@ -37,18 +37,25 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _read(v: Column) -> Column:
+    """Kind and text of a value, for let()."""
+    return F.struct(_kind(v).alias("k"), _as(v, "string").alias("s"))
+
+
+def _said(x: Column, v: Column) -> Column:
+    return F.when(x["k"].isin("STRING", "BIGINT"), x["s"]).when(x["k"] == "BOOLEAN", F.initcap(x["s"])).when(x["k"] == "VOID", "None").when(x["k"].rlike("^(ARRAY|OBJECT)"), F.to_json(v)).otherwise(x["s"].try_cast("double").cast("string"))
+
+
 def item_text(v: Column) -> Column:
     """Any value as text; what isn't there is 'None'."""
-    k = _kind(v)
-    number = F.when(k == "BIGINT", _as(v, "string")).otherwise(_as(v, "double").cast("string"))
-    return F.when(k == "STRING", _as(v, "string")).when(k == "BOOLEAN", F.initcap(_as(v, "string"))).when(k == "VOID", "None").when(k.rlike("^(ARRAY|OBJECT)"), F.to_json(v)).otherwise(number)
+    return let(_read(v), lambda x: _said(x, v))
 
 
 def text_of(v: Column) -> Column:
     """A value as text; '' for what is missing, null, false, zero or empty."""
-    text = item_text(v)
-    nothing = (_kind(v) == "VOID") | ((_kind(v) == "BOOLEAN") & (text == "False")) | (text.isin("[]", "{}") & (_kind(v) != "STRING")) | (F.coalesce(number_of(v) == 0, F.lit(False)) & ~_kind(v).isin("STRING", "BOOLEAN"))
-    return F.when(nothing, "").otherwise(text)
+    nothing = F.lit("None"), F.lit("False"), F.lit("0"), F.lit("0.0"), F.lit("-0.0"), F.lit("[]"), F.lit("{}")
+    told = lambda x: F.when(x["k"] == "STRING", x["s"]).otherwise(let(_said(x, v), lambda t: F.when(t.isin(*nothing), "").otherwise(t)))
+    return let(_read(v), told)
 
 
 def number_of(v: Column) -> Column:
@@ -64,6 +71,10 @@ def whole_of(v: Column) -> Column:
     return F.rint(number_of(v)).cast("int")
 
 
+def is_list(v: Column) -> Column:
+    return _kind(v).startswith("ARRAY")
+
+
 def texts_of(v: Column) -> Column:
     """A list of texts: of a list its items, of a text the text alone, of all else nothing."""
     k = _kind(v)

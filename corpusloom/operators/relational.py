@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,32 +53,85 @@ def groups_not_done(df: DataFrame, done: DataFrame, expected: str = "expected",
     return df.join(missing, F.col(id_col) == F.col("__id"), "left_semi")
 
 
+#: Rows of a range that one task orders, about.
+RANGE_ROWS = 1_000_000
+
+
+def _ranges(rows: int) -> int:
+    return max(1, -(-rows // RANGE_ROWS))
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """__part, __before: the sum of __n over the ranges before; one row a range."""
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    return F.broadcast(counts.select("__part", F.coalesce(before, F.lit(0)).alias("__before")))
+
+
 def numbered(df: DataFrame, *order: str, ranges: int = 64) -> DataFrame:
     """df with n, its place from 1 in order: rows are range-partitioned, counted by partition, and numbered within it.
 
-    No task sees all rows; the order must tell rows apart for the numbers to be determinate.
+    No task sees all rows; the order must tell rows apart for the numbers to be determinate. Both uses of the ranges share
+    one shuffle.
     """
     placed = df.repartitionByRange(ranges, *order).withColumn("__part", F.spark_partition_id())
-    key = F.struct(*order)
-    bounds = placed.groupBy("__part").agg(F.count("*").alias("__n"), F.min(key).alias("__low"))
-    before = bounds.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # at most ``ranges`` rows
     within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return placed.join(F.broadcast(before.select("__part", "__before")), "__part").withColumn("n", F.col("__before") + within).drop("__part", "__before")
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    return placed.join(_offsets(counts), "__part").withColumn("n", F.col("__before") + within).drop("__part", "__before")
 
 
 def split_even(df: DataFrame, parts: int, *order: str) -> DataFrame:
     """df with part: contiguous runs of ceil(rows / parts) rows in order, numbered from 1."""
     rows = df.count()
-    return numbered(df, *order).withColumn("part", (F.floor((F.col("n") - 1) / max(1, -(-rows // parts))) + 1).cast("int")).drop("n")
+    return numbered(df, *order, ranges=_ranges(rows)).withColumn("part", (F.floor((F.col("n") - 1) / max(1, -(-rows // parts))) + 1).cast("int")).drop("n")
 
 
-def shard_by_bytes(df: DataFrame, limit: int, *order: str, text: str = "text", buckets: int = 64) -> DataFrame:
-    """df with shard (from 0): a new shard begins where the running bytes of the rows would pass a multiple of the limit."""
-    key = F.pmod(F.xxhash64(*order), F.lit(buckets))
-    by = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    size = F.coalesce(F.octet_length(text), F.lit(0)) + 1
-    local = F.floor((F.sum(size).over(by) - 1) / limit)
-    return df.withColumn("shard", (key + local * buckets).cast("int"))
+def parse_size(size: str) -> int:
+    """Bytes from a number with K, M or G after it, or none."""
+    text = size.strip().upper()
+    power = {"K": 1, "M": 2, "G": 3}.get(text[-1:], 0)
+    return int(float(text[:-1] if power else text) * 1024**power)
+
+
+def line_bytes(*columns: str) -> Column:
+    """The bytes of a row as a line of JSON, line feed included; nulls are written out."""
+    return F.octet_length(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})) + 1
+
+
+def shard_by_bytes(df: DataFrame, limit: int, *order: str, size: Column | None = None) -> DataFrame:
+    """df with bytes and shard (from 0): contiguous in order, each of at most ``limit`` bytes, or of one row that has more.
+
+    A row that would pass the limit opens the next shard. Rows are cut into ranges of about 64 limits, and a new range
+    opens a new shard, so ranges are filled independently of each other; up to that size the result is that of one scan.
+    size: the bytes of a row, by default of its line of JSON.
+    """
+    sized = df.withColumn("bytes", (size if size is not None else line_bytes(*df.columns)).cast("long"))
+    total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sized.schema.fields)
+    at = sized.columns.index("bytes")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, used = 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = np.cumsum(batch.column(at).to_numpy())
+            out, done = np.zeros(len(ends), np.int64), 0
+            while done < len(ends):
+                base = ends[done - 1] if done else 0
+                stop = int(np.searchsorted(ends, base + limit - used, "right"))
+                if stop <= done and used:  # the row doesn't fit
+                    shard, used = shard + 1, 0
+                    continue
+                stop = max(stop, done + 1)  # a row beyond the limit is alone
+                out[done:stop] = shard
+                used += int(ends[stop - 1] - base)
+                done = stop
+            yield batch.append_column("__local", pa.array(out))
+
+    ranges = max(1, total // (limit * 64))
+    local = sized.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(run, f"{kinds}, __local bigint").withColumn("__part", F.spark_partition_id())
+    counts = local.groupBy("__part").agg((F.max("__local") + 1).alias("__n"))
+    return local.join(_offsets(counts), "__part").withColumn("shard", (F.col("__before") + F.col("__local")).cast("int")).drop("__part", "__before", "__local")
 
 
 def head_of(df: DataFrame, n: int, *order: str) -> DataFrame:
@@ -91,9 +148,42 @@ def source_stats(df: DataFrame, by: str = "dataset_source", id_col: str = "id",
 
 
 def length_stats(df: DataFrame, text: str = "text", title: str = "title") -> DataFrame:
-    """Rows, shortest, longest and average length without white space, distinct titles."""
+    """Rows, shortest, longest, total and average length (two decimals) without white space, distinct titles."""
     n = T.text_length(F.col(text))
-    return df.agg(F.count("*").alias("n"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.sum(n).alias("total"), F.countDistinct(title).alias("titles"))
+    return df.agg(F.count("*").alias("n"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.sum(n).alias("total"), F.round(F.avg(n), 2).alias("average"), F.countDistinct(title).alias("titles"))
+
+
+def chunk_stats(df: DataFrame, by: str = "source", text: str = "text") -> DataFrame:
+    """by, chunks and chars (without white space) of each file or source; null texts have none."""
+    return df.groupBy(by).agg(F.count("*").alias("chunks"), F.coalesce(F.sum(T.text_length(F.col(text))), F.lit(0)).alias("chars"))
+
+
+def score_buckets(df: DataFrame, score: Column) -> DataFrame:
+    """bucket, n: rows by score in steps of 5 from 0 to 95; scores beyond are taken as 0 and 99."""
+    return df.groupBy((F.floor(F.least(F.greatest(score, F.lit(0)), F.lit(99)) / 5) * 5).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def event_chunks(df: DataFrame, split: str = "split") -> DataFrame:
+    """id, text, char_count, split, event_types, event_count of (id, split, text, event_list: array of (event_type)).
+
+    Rows without text go; types are distinct and sorted, null and empty ones left out; a null list has no events.
+    """
+    named = F.filter(F.transform("event_list", lambda e: e["event_type"]), lambda t: F.coalesce(t != "", F.lit(False)))
+    rows = df.withColumn("text", T.clean_wiki(F.coalesce("text", F.lit("")))).where("text <> ''")
+    return rows.select(
+        F.concat_ws("/", F.lit("events"), split, F.col("id").cast("string")).alias("id"), "text", T.text_length(F.col("text")).alias("char_count"), F.col(split).alias("split"),
+        F.coalesce(F.array_sort(F.array_distinct(named)), F.array().cast("array<string>")).alias("event_types"), F.greatest(F.coalesce(F.size("event_list"), F.lit(0)), F.lit(0)).alias("event_count"),
+    )
+
+
+def event_stats(chunks: DataFrame) -> DataFrame:
+    """split, n, least, greatest and average (two decimals) of characters and events; the null split is the total."""
+    of = lambda c: (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), F.round(F.avg(c), 2).alias(f"{c}_avg"))
+    return chunks.rollup("split").agg(F.count("*").alias("n"), *of("char_count"), *of("event_count"))
+
+
+def event_type_counts(chunks: DataFrame) -> DataFrame:
+    return chunks.select(F.explode("event_types").alias("event_type")).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 def category_counts(df: DataFrame) -> DataFrame:

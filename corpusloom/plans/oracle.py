@@ -136,7 +136,7 @@ _RISKS = ", ".join(map(_q, lexicons.RISK_LABELS))
 _MARKS = lexicons.SENTENCE_ENDS
 _HEAD = f"left({compact(_T)}, 6000)"
 _TITLE = "coalesce(title, '')"
-_TOKENS = "list_distinct(list_concat(regexp_extract_all({0}, '[a-z0-9_]{{2,}}|[一-鿿]{{2,}}'), list_filter(list_transform(range(1, greatest(length(regexp_replace({0}, '[^一-鿿]', '', 'g')), 1)), lambda i: substring(regexp_replace({0}, '[^一-鿿]', '', 'g'), CAST(i AS BIGINT), 2)), lambda g: length(g) = 2)))"
+_TOKENS = "list_distinct(list_concat(regexp_extract_all({0}, '[a-z0-9_]+|[一-鿿]{{2,}}'), list_filter(list_transform(range(1, greatest(length(regexp_replace({0}, '[^一-鿿]', '', 'g')), 1)), lambda i: substring(regexp_replace({0}, '[^一-鿿]', '', 'g'), CAST(i AS BIGINT), 2)), lambda g: length(g) = 2)))"
 
 ORACLE: dict[str, str] = {
     "clean_documents": f"SELECT doc_id, {clean('text')} AS clean FROM documents",
@@ -207,7 +207,7 @@ SELECT DISTINCT id, expected FROM w WHERE child NOT IN (SELECT id FROM sft_answe
     "source_stats": """
 WITH d AS (SELECT DISTINCT id, text, dataset_source FROM v2_chunks), r AS (SELECT *, row_number() OVER (PARTITION BY dataset_source ORDER BY id) AS k FROM d)
 SELECT dataset_source, count(*) AS chunks, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS chars, string_agg(id, '|' ORDER BY id) FILTER (k <= 3) AS first_ids FROM r GROUP BY 1""",
-    "length_stats": f"SELECT count(*) AS n, CAST(min(k) AS INTEGER) AS shortest, CAST(max(k) AS INTEGER) AS longest, CAST(sum(k) AS BIGINT) AS total, count(DISTINCT title) AS titles FROM (SELECT title, length({sub('text', f'{_WS}+')}) AS k FROM v2_chunks)",
+    "length_stats": f"SELECT count(*) AS n, CAST(min(k) AS INTEGER) AS shortest, CAST(max(k) AS INTEGER) AS longest, CAST(sum(k) AS BIGINT) AS total, round(avg(k), 2) AS average, count(DISTINCT title) AS titles FROM (SELECT title, length({sub('text', f'{_WS}+')}) AS k FROM v2_chunks)",
     "category_counts": "SELECT coalesce(nullif(category, ''), nullif(site, ''), 'unknown') AS category, count(*) AS n FROM v2_chunks GROUP BY 1",
     "url_normal": """
 SELECT DISTINCT id, CASE WHEN regexp_matches(u, '^(?i)https?://[^/?]+') THEN lower(regexp_extract(u, '^(?i)(https?://[^/?]+)', 1)) || regexp_replace(u, '^(?i)https?://[^/?]+', '') END AS url,
@@ -216,12 +216,27 @@ SELECT DISTINCT id, CASE WHEN regexp_matches(u, '^(?i)https?://[^/?]+') THEN low
     "label_numbers": """
 SELECT CASE side WHEN 'fact' THEN 'F' WHEN 'operation' THEN 'O' ELSE 'X' END || lpad(CAST(row_number() OVER (PARTITION BY side ORDER BY source_path, level1, level2, level3) AS VARCHAR), 4, '0') AS label_id, side, source_path, level1, level2, level3 FROM taxonomy_leaves""",
     "label_candidates": f"""
-WITH q AS (SELECT DISTINCT id, lower(coalesce(sft_question.question, '')) AS t FROM sft_answers),
-qt AS (SELECT id, t, {_TOKENS.format("t")} AS tt FROM q),
-l AS (SELECT label_id, lower(level1) AS l1, lower(level2) AS l2, lower(level3) AS l3, lower(concat_ws(' ', level1, level2, level3)) AS p FROM taxonomy_leaves),
-lt AS (SELECT *, {_TOKENS.format("p")} AS lk FROM l),
-s AS (SELECT id, label_id, CAST(8 * (CAST(contains(t, l1) AS INTEGER) + CAST(contains(t, l2) AS INTEGER) + CAST(contains(t, l3) AS INTEGER)) + 3 * CAST(contains(t, l1) AS INTEGER) + 4 * CAST(contains(t, l2) AS INTEGER) AS DOUBLE) + 1.5 * len(list_intersect(tt, lk)) AS score FROM qt CROSS JOIN lt),
+WITH q AS (SELECT DISTINCT id, coalesce(sft_question.question, '') AS t, lower(coalesce(sft_question.question, '')) AS w FROM sft_answers),
+qt AS (SELECT id, t, w, {_TOKENS.format("w")} AS tt FROM q),
+l AS (SELECT label_id, CASE side WHEN 'friendly' THEN '我方' WHEN 'opponent' THEN '他方' ELSE side END AS l0, level1 AS l1, level2 AS l2, level3 AS l3, full_path FROM taxonomy_leaves),
+lp AS (SELECT *, lower(concat_ws(' ', full_path, l0, l1, l2, l3)) AS p FROM l),
+lt AS (SELECT *, {_TOKENS.format("p")} AS lk FROM lp),
+s AS (SELECT id, label_id, {" + ".join(f"CASE WHEN coalesce({c}, '') <> '' AND contains(w, lower({c})) THEN 8.0 ELSE 0 END" for c in ("l0", "l1", "l2", "l3"))} + CASE WHEN contains(t, coalesce(l1, '')) THEN 3.0 ELSE 0 END + CASE WHEN contains(t, coalesce(l2, '')) THEN 4.0 ELSE 0 END
+  + 1.5 * len(list_intersect(tt, lk)) AS score FROM qt CROSS JOIN lt),
 r AS (SELECT id, label_id, CAST(score AS DOUBLE) AS score, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, label_id) AS INTEGER) AS rank FROM s)
 SELECT * FROM r WHERE rank <= 10""",
+    "shard_rows": """
+WITH RECURSIVE s AS (SELECT doc_id, strlen(CAST(to_json({'doc_id': doc_id, 'text': text}) AS VARCHAR)) + 1 AS size, row_number() OVER (ORDER BY doc_id) AS k FROM documents),
+r AS (SELECT doc_id, size, k, size AS used, 0 AS shard FROM s WHERE k = 1
+  UNION ALL SELECT s.doc_id, s.size, s.k, CASE WHEN r.used + s.size > 1000000 THEN s.size ELSE r.used + s.size END, r.shard + CASE WHEN r.used + s.size > 1000000 THEN 1 ELSE 0 END FROM r JOIN s ON s.k = r.k + 1)
+SELECT CAST(shard AS INTEGER) AS shard, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes, min(doc_id) AS first_id FROM r GROUP BY shard""",
+    "chunk_totals": f"SELECT source, count(*) AS chunks, CAST(coalesce(sum(length({sub('text', f'{_WS}+')})), 0) AS BIGINT) AS chars FROM pdf_chunks GROUP BY source",
+    "relevance_buckets": """
+WITH t AS (SELECT score FROM (relevant_rows_sql))
+SELECT CAST(least(greatest(score, 0), 99) // 5 * 5 AS INTEGER) AS bucket, count(*) AS n FROM t GROUP BY 1""",
+    "label_forms": """
+SELECT label_id AS id, CASE WHEN label_id LIKE 'F%' THEN 'friendly' WHEN label_id LIKE 'O%' THEN 'opponent' ELSE '' END AS side, CASE WHEN label_id LIKE 'F%' THEN '我方' WHEN label_id LIKE 'O%' THEN '他方' ELSE side END AS side_name, level1 AS l1, level2 AS l2, level3 AS leaf,
+  CASE WHEN label_id LIKE 'F%' THEN '我方>' WHEN label_id LIKE 'O%' THEN '他方>' ELSE side || '>' END || full_path AS path FROM taxonomy_leaves""",
 }
+ORACLE["relevance_buckets"] = ORACLE["relevance_buckets"].replace("relevant_rows_sql", ORACLE["relevant_rows"])
 ORACLE |= stages(_PAIRS, _SQ, _SA)

@@ -261,7 +261,7 @@ def split_parts(d):
 def shard_rows(d):
     """Rows and bytes of shards of at most a million bytes each."""
     rows = relational.shard_by_bytes(d.select("doc_id", "text"), 1_000_000, "doc_id")
-    return rows.groupBy("shard").agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("bytes"))
+    return rows.groupBy("shard").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.min("doc_id").alias("first_id"))
 
 
 @query("v2_chunks")
@@ -281,6 +281,25 @@ def length_stats(v):
     return relational.length_stats(v)
 
 
+@query("pdf_chunks")
+def chunk_totals(p):
+    return relational.chunk_stats(p)
+
+
+@query("v2_chunks")
+def relevance_buckets(v):
+    scored = relational.relevance(v.select("id", "title", "text").distinct(), lexicons.TITLE_WEIGHTS, lexicons.BODY_WEIGHTS, lexicons.EXCLUDED_TITLES, lexicons.PAGE_RISKS)
+    return relational.score_buckets(scored, F.col("relevance.score"))
+
+
+@query("taxonomy_leaves")
+def label_forms(leaves):
+    """Catalog entries as JSON, with the names that another catalog has, brought to one form."""
+    raw = F.try_parse_json(F.to_json(F.struct("label_id", F.struct("label_id").alias("other"), "level1", "level2", F.col("level3").alias("name"), "full_path")))
+    x = F.col("x")
+    return leaves.select(taxonomy.normal_label(raw).alias("x")).select(*(x[k].alias(k) for k in ("id", "side", "side_name", "l1", "l2", "leaf")), F.array_join(x["path"], ">").alias("path"))
+
+
 @query("v2_chunks")
 def category_counts(v):
     return relational.category_counts(v)
@@ -439,5 +458,6 @@ def label_numbers(leaves):
 
 @query_all
 def label_candidates(read):
+    """The ten best labels of each question."""
     questions = _pairs(read("sft_answers")).select("id", "q").distinct()
     return taxonomy.candidates(questions, read("taxonomy_leaves"), 10, "id", "q").select("id", "label_id", "score", "rank")

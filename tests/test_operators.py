@@ -116,7 +116,14 @@ def test_chunks_cover_and_are_numbered(spark):
 def test_chunk_pages(spark):
     pages = spark.createDataFrame([("s", 2, PROSE * 4), ("s", 1, PROSE * 4), ("u", 1, None)], "source string, page_no int, text string")
     rows = chunking.chunk_pages(pages).collect()
-    assert {(r["page_start"], r["page_end"]) for r in rows} == {(1, 2)}
+    assert {(r["page_start"], r["page_end"], r["id"], r["title"]) for r in rows} == {(1, 2, "s#00001", "s")}
+    assert chunking.chunk_pages(pages.limit(0)).count() == 0
+
+
+def test_page_paragraphs():
+    units = list(chunking.page_units([(1, "核心是信息优\n\n势，部队要\n跟上。\n12\n下一段"), (2, "完。")]))
+    assert [(u.text, u.context) for u in units] == [("核心是信息优势，部队要跟上。", (1, 1)), ("下一段", (1, 1)), ("完。", (2, 2))]
+    assert chunking.page_title("a/b.pdf", []) == "b" and chunking.page_title("a/.pdf", [chunking.Unit("摘要：某"), chunking.Unit("标题是它")]) == "标题是它"
 
 
 def test_relational(spark):
@@ -137,9 +144,36 @@ def test_groups_not_done(spark):
 
 
 def test_shards(spark):
-    df = spark.createDataFrame([(k, "x" * 100) for k in range(50)], "id int, text string")
-    rows = relational.shard_by_bytes(df, 1010, "id", buckets=2).groupBy("shard").agg(F.sum(F.length("text") + 1).alias("b")).collect()
-    assert all(r["b"] <= 1010 for r in rows) and sum(r["b"] for r in rows) == 50 * 101
+    df = spark.createDataFrame([(k, "x" * n) for k, n in enumerate([701] * 40 + [30, 5000, 1, 1])], "id int, text string")
+    size = F.length("text")
+    rows = relational.shard_by_bytes(df, 1000, "id", size=size).orderBy("id").collect()
+    want, used, shard = [], 0, 0
+    for r in rows:
+        if used and used + r["bytes"] > 1000:
+            used, shard = 0, shard + 1
+        want.append(shard)
+        used += r["bytes"]
+    assert [r["shard"] for r in rows] == want
+    big = relational.shard_by_bytes(spark.range(30_000).withColumn("text", F.lit("y" * 20)), 5000, "id", size=F.lit(21)).groupBy("shard").agg(F.sum("bytes").alias("b"), F.min("id").alias("low"), F.max("id").alias("high")).orderBy("shard").collect()
+    assert all(r["b"] <= 5000 for r in big) and [r["shard"] for r in big] == list(range(len(big))) and all(a["high"] + 1 == b["low"] for a, b in zip(big, big[1:]))
+    assert relational.shard_by_bytes(df.limit(0), 1000, "id").count() == 0 and relational.parse_size("1.5k") == 1536
+    assert df.limit(1).select(relational.line_bytes("id", "text")).first()[0] == len('{"id":0,"text":"' + "x" * 701 + '"}\n')
+
+
+def test_first_wins_limits_groups_before_its_shuffle(spark):
+    plan = relational.first_wins(spark.range(10), F.col("id") % 2, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_events_and_buckets(spark):
+    rows = [("1", "dev", " a  b ", [("x",), ("y",), ("x",), (None,)]), ("2", "dev", " ", [("x",)]), ("3", None, "c", None)]
+    got = relational.event_chunks(spark.createDataFrame(rows, "id string, split string, text string, event_list array<struct<event_type:string>>"))
+    found = {r["id"]: (r["text"], r["event_types"], r["event_count"]) for r in got.collect()}
+    assert found == {"events/dev/1": ("a b", ["x", "y"], 4), "events/3": ("c", [], 0)}
+    assert {(r["event_type"], r["n"]) for r in relational.event_type_counts(got).collect()} == {("x", 1), ("y", 1)}
+    assert relational.event_stats(got).where("split is null").orderBy(F.desc("n")).first()["event_count_avg"] == 2.0
+    buckets = relational.score_buckets(spark.createDataFrame([(-3,), (4,), (5,), (250,)], "s int"), F.col("s")).collect()
+    assert {(r["bucket"], r["n"]) for r in buckets} == {(0, 2), (5, 1), (95, 1)}
 
 
 def test_relevance(spark):
@@ -230,17 +264,28 @@ def test_taxonomy(spark):
     lines = spark.createDataFrame([("fact", "f.md", k, x) for k, x in enumerate(["- early", "# 甲", "- 一", "## 乙", "- 二", "# 丙", "- 三"])], "side string, path string, line_no int, line string")
     rows = taxonomy.read_markdown(lines).orderBy("level3").collect()
     assert {(r["level1"], r["level2"], r["level3"]) for r in rows} == {("甲", "未分组", "一"), ("甲", "乙", "二"), ("丙", "乙", "三")}
-    labels = spark.createDataFrame([("F1", "国防", "制度", "兵役制度"), ("F2", "历史", None, "战史")], "label_id string, level1 string, level2 string, level3 string")
+    labels = spark.createDataFrame([("F1", "friendly", "国防", "制度", "兵役制度"), ("F2", "fact", "历史", None, "战史")], "label_id string, side string, level1 string, level2 string, level3 string").withColumn("full_path", F.concat_ws(">", "side", "level1", "level2", "level3"))
     texts = spark.createDataFrame([("t", "国防与兵役制度"), ("n", None)], "id string, text string")
     best = taxonomy.candidates(texts, labels, 1).orderBy("id").collect()
-    assert [(r["id"], r["label_id"]) for r in best] == [("n", "F1"), ("t", "F1")]
+    assert [(r["id"], r["label_id"], r["score"], r["rank"]) for r in best] == [("n", "F2", 4.0, 1), ("t", "F1", 8 * 3 + 1.5 * 4 + 3 + 4, 1)]
+    side = taxonomy.candidates(texts.limit(1).withColumn("text", F.lit("我方的事")), labels, 2).orderBy("rank").collect()
+    assert [(r["label_id"], r["score"]) for r in side] == [("F1", 9.5), ("F2", 4.0)] and taxonomy.candidates(texts, labels.limit(0)).count() == 0
+
+
+def test_labels_of_any_form(spark):
+    raw = ['{"id": "F7", "path": "甲/乙/丙"}', '{"label_id": "Z1", "side": "opponent", "level1": "甲", "name": "丁"}', '{"id": "X1", "full_path": ["边", " 甲 ", "", "乙", "丙"]}', "{}"]
+    rows = [r["x"] for r in spark.createDataFrame(list(enumerate(raw)), "k int, r string").orderBy("k").select(taxonomy.normal_label(F.try_parse_json("r")).alias("x")).collect()]
+    assert [tuple(r) for r in rows] == [
+        ("F7", "friendly", "我方", "乙", "丙", "丙", ["我方", "甲", "乙", "丙"]), ("Z1", "opponent", "他方", "甲", "", "丁", ["他方", "甲", "丁"]),
+        ("X1", "", "边", "甲", "乙", "丙", ["边", "边", "甲", "乙", "丙"]), ("", "", "", "", "", "", []),
+    ]
 
 
 def test_html(spark):
-    page = '<html><head><title>站点标题 - 某网</title><meta name="pubdate" content="2024-1-5"></head><body><script>x</script><p>被丢弃<p>第一段正文内容足够长了<br>第二行</p><a href="/b#c">l</a><p>第一段正文内容足够长了<br>第二行</p></body></html>'
+    page = '<html><head><title>站点-20标题 - 中国军网 某</title><meta name="pubdate" content="2024-1-5"></head><body><script>x</script><p>被丢弃<p>第一段正文内容足够长了<br>第二行</p><a href="/b#c">l</a><p>第一段正文内容足够长了<br>第二行</p></body></html>'
     df = spark.createDataFrame([("http://A.com/x/", page), (None, None)], "url string, html string")
     a, b = html.articles(df).collect()
-    assert a["text"] == "第一段正文内容足够长了\n第二行" and a["publish_date"] == "2024-01-05" and a["links"] == ["http://A.com/b"] and a["title"] == "站点标题" and b["text"] == ""
+    assert a["text"] == "第一段正文内容足够长了\n第二行" and a["publish_date"] == "2024-1-5" and a["links"] == ["http://A.com/b"] and a["title"] == "站点-20标题" and b["text"] == ""
     urls = spark.createDataFrame([("HTTP://A.com/X#f",), ("ftp://a",), (None,)], "u string")
     assert [r[0] for r in urls.select(html.normal_url(F.col("u"))).collect()] == ["http://a.com/X", None, None]
     assert [r[0] for r in urls.select(html.url_matches(F.col("u"), ("a.com",))).collect()] == [True, False, False]
