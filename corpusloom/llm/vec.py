@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.shared import shared_dir  # noqa: F401  for the operators
+
 #: Characters that one vectorised step works on; bounds a Python worker's memory, whatever the batch holds.
 STEP_CHARS = 400_000
 
@@ -133,22 +134,6 @@ def segment_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Makes sure that checkpoints go to the folder the cluster names, and are removed once nothing refers to them.
-
-    Only a local session without spark.checkpoint.dir gets a folder of its own; a cluster without one is refused, as its
-    machines share no other.
-    """
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="corpusloom-"))
-    sc._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 #: Rows that a task holds at most to settle groups, and rows of one group that it sends to one place at most.
 SETTLE_ROWS, GROUP_ROWS = 1_500_000, 256
 

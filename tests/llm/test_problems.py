@@ -450,3 +450,19 @@ def test_very_long_text(spark):
     assert len(bpe.encode_corpus(df).where("doc_id = 1").first()["ids"]) > 400_000
     v = df.select(F.col("doc_id").cast("string").alias("id"), "text")
     assert neardup.similar_pairs(v).count() == 0 and quality.measured(v, []).count() == 2
+
+
+def test_margins_are_validated():
+    rows = [words(60, k) + "，部队装备。" for k in range(40)] + ["Le général a réuni l'état-major à l'aube près du canal."] * 5
+    flat = vec.codepoints(pa.array(rows))
+    counts = np.zeros((1 << encoding.BIGRAM_BITS) + (1 << encoding.UNIGRAM_BITS), np.float32)
+    framed = np.concatenate([[10], *[np.append(flat[0][a:b], 10) for a, b in zip(flat[1], flat[1][1:])]]).astype(np.uint32)
+    counts[: 1 << encoding.BIGRAM_BITS] += np.bincount(encoding._slots(framed), minlength=1 << encoding.BIGRAM_BITS)
+    counts[1 << encoding.BIGRAM_BITS :] += np.bincount(encoding._single(framed), minlength=1 << encoding.UNIGRAM_BITS)
+    model = encoding.CharModel(counts[: 1 << encoding.BIGRAM_BITS], counts[1 << encoding.BIGRAM_BITS :])
+    margins = encoding.validated_margins(model, rows)
+    assert margins.total > 0 and margins.mean > 0
+    assert not encoding.best_reading(rows[-1], model, margins, odd=True)[1]
+    assert encoding.best_reading(rows[1][:10] + "��" + rows[1][10:], model, margins) == (rows[1][:10] + "��" + rows[1][10:], True)
+    assert encoding.best_reading(rows[0].encode().decode("latin-1"), model, margins)[0] == rows[0]
+    assert encoding.validated_margins(model, []).accept(1, 1)
