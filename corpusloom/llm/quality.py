@@ -31,8 +31,8 @@ STATS = (
 CUTS = (0.5, 1, 2, 3, 5, 8, 12, 20, 35, 50, 65, 80, 88, 92, 95, 97, 98, 99, 99.5)
 #: Relative width of a sketch's buckets.
 BUCKET = 0.01
-#: At most so many labelled records train the model; with fewer than LEAST_LABELS, or a kind without any, fixed rules stand in.
-MOST_LABELS, LEAST_LABELS = 20_000, 200
+#: At most so many labelled records train the model.
+MOST_LABELS = 20_000
 
 _OTHER, _LATIN, _CJK, _CYRILLIC, _LETTER, _DIGIT, _SPACE, _BREAK = range(8)
 
@@ -147,26 +147,27 @@ def statistics(column: pa.Array, common: list[tuple[str, str]]) -> tuple[np.ndar
     zh = lang_words.get("zh", set())
     table = np.zeros(0x110000, bool)
     table[[ord(w) for w in zh if len(w) == 1]] = True
-    pairs = np.array(sorted(ord(w[0]) * 0x110000 + ord(w[1]) for w in zh if len(w) == 2), np.int64)
     zh_common = table[chars]
-    if len(pairs) and len(chars) > 1:
-        both = chars[:-1].astype(np.int64) * 0x110000 + chars[1:]
-        hit = cjk[:-1] & np.isin(both, pairs)
-        zh_common[:-1] |= hit
+    for size in {len(w) for w in zh} - {0, 1}:  # a common word of several characters counts where it begins
+        if len(chars) >= size:
+            words = np.array([[ord(c) for c in w] for w in zh if len(w) == size], np.uint32)
+            hit = cjk[: len(chars) - size + 1] & np.isin(vec.window_hashes(chars, size), np.concatenate([vec.window_hashes(w, size) for w in words]))
+            zh_common[: len(hit)] |= hit
     words_at = np.flatnonzero(word_start)
     edges = np.flatnonzero(np.diff(np.concatenate([letters.view(np.int8), [0]])) == -1) + 1
     sizes = edges - words_at
     lower = _lower()[chars].astype(np.uint64)
+    longest_word = max((len(w) for lang in ("en", "ru", "fr") for w in lang_words.get(lang, ())), default=0)
     h = np.zeros(len(words_at), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(8):
+        for k in range(longest_word):  # a longer word is no common one
             own = sizes > k
             h[own] = h[own] * np.uint64(1_000_003) + lower[words_at[own] + k]
     word_doc = np.searchsorted(offsets, words_at, "right") - 1
     matches = {}
     for lang in ("en", "ru", "fr"):
-        own = np.array([_word_hash(w) for w in lang_words.get(lang, ()) if len(w) <= 8], np.uint64)
-        matches[lang] = np.bincount(word_doc, np.isin(h, own) & (sizes <= 8), n)
+        own = np.array([_word_hash(w) for w in lang_words.get(lang, ())], np.uint64)
+        matches[lang] = np.bincount(word_doc, np.isin(h, own) & (sizes <= longest_word), n)
     n_words, n_cjk = np.bincount(word_doc, minlength=n).astype(float), per_doc(cjk)
     latin, cyrillic = per_doc(kind == _LATIN), per_doc(kind == _CYRILLIC)
     language = np.full(n, LANGS.index("other"))
@@ -248,7 +249,7 @@ def sketches(stats: DataFrame) -> DataFrame:
 
 
 class Scale:
-    """The percentiles of each statistic in each language, from collected sketches."""
+    """The percentiles and robust z-scores of each statistic in each language, from collected sketches."""
 
     def __init__(self, rows: list):
         self.tables = {}
@@ -260,6 +261,22 @@ class Scale:
             edge, n = np.array([b for b, _ in pairs]), np.array([c for _, c in pairs], float)
             self.tables[key] = edge, (np.cumsum(n) - n / 2) / n.sum() * 100
 
+    def z_scores(self, lang: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Distance from the median in half-widths of the middle 68 %, on a signed logarithmic scale; 0 without a sketch.
+
+        Where the middle has no width, a bucket's counts.
+        """
+        out = np.zeros(values.shape)
+        b = buckets(values)
+        for name in np.unique(lang):
+            own = np.flatnonzero(lang == name)
+            for k in range(values.shape[1]):
+                if (name, k) in self.tables:
+                    edge, rank = self.tables[name, k]
+                    low, middle, high = np.interp((16, 50, 84), rank, edge)
+                    out[own, k] = (b[own, k] - middle) / max((high - low) / 2, 10.0)
+        return np.sign(out) * np.log1p(np.abs(out))
+
     def percentiles(self, lang: np.ndarray, values: np.ndarray) -> np.ndarray:
         """The percentile (mid rank, 0 to 100) of each value; 50 where the language has no sketch."""
         out = np.full(values.shape, 50.0)
@@ -273,14 +290,12 @@ class Scale:
         return out
 
 
-def _inputs(values: np.ndarray, percentile: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """Model inputs: the percentile band of each statistic, the values on a bounded scale, and the language."""
+def _inputs(z: np.ndarray, percentile: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Model inputs: the percentile band and the robust z-score of each statistic, and the language; no value as it is."""
     band = np.searchsorted(CUTS, percentile)
-    hot = np.zeros((len(values), len(STATS) * (len(CUTS) + 1)))
-    hot[np.arange(len(values))[:, None], np.arange(len(STATS)) * (len(CUTS) + 1) + band] = 1
-    size = np.log1p(np.minimum(values, 1e6))
-    shares = np.minimum(np.sqrt(np.maximum(values, 0)), 3)
-    return np.concatenate([hot, size, shares, (lang[:, None] == np.array(LANGS)[None, :]).astype(float), np.ones((len(values), 1))], 1)
+    hot = np.zeros((len(z), len(STATS) * (len(CUTS) + 1)))
+    hot[np.arange(len(z))[:, None], np.arange(len(STATS)) * (len(CUTS) + 1) + band] = 1
+    return np.concatenate([hot, z, np.maximum(z, 0), (lang[:, None] == np.array(LANGS)[None, :]).astype(float), np.ones((len(z), 1))], 1)
 
 
 def train(x: np.ndarray, y: np.ndarray, classes: int, penalty: float = 1.0, rounds: int = 300) -> np.ndarray:
@@ -302,31 +317,20 @@ def train(x: np.ndarray, y: np.ndarray, classes: int, penalty: float = 1.0, roun
     return w
 
 
-def rules(values: np.ndarray) -> np.ndarray:
-    """The kinds by fixed bounds, for corpora without enough labels."""
-    s = {k: values[:, i] for i, k in enumerate(STATS)}
-    out = np.zeros(len(values), int)
-    short = (s["prose_mass"] < 0.4) & (s["end_share"] < 0.5)
-    out[short & (s["n_lines"] >= 3)] = KINDS.index("list")
-    out[short & ((s["separators"] >= 2) | (s["tight_commas"] >= 3) | (s["numbers"] >= 3))] = KINDS.index("table")
-    out[(s["long_run_share"] > 0.3) | (s["code_ratio"] > 0.12) | (s["nav_marks"] > 3)] = KINDS.index("junk")
-    return out
-
-
-def fit(rows: list[tuple[str, list[float], str]], scale: Scale) -> np.ndarray | None:
-    """Weights from labelled rows (lang, stats, kind), or None if they are too few (see LEAST_LABELS)."""
+def fit(rows: list[tuple[str, list[float], str]], scale: Scale) -> np.ndarray:
+    """Weights from labelled rows (lang, stats, kind), however few: a kind without any is never named, without labels all is prose."""
     rows = [r for r in rows if r[2] in KINDS and r[1][1] > 0]
-    if len(rows) < LEAST_LABELS or len({r[2] for r in rows}) < len(KINDS):
-        return None
-    lang, values, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([KINDS.index(r[2]) for r in rows])
-    return train(_inputs(values, scale.percentiles(lang, values), lang), y, len(KINDS))
+    lang, values, y = np.array([r[0] for r in rows], object), np.array([r[1] for r in rows]).reshape(-1, len(STATS)), np.array([KINDS.index(r[2]) for r in rows], np.int64)
+    weights = train(_inputs(scale.z_scores(lang, values), scale.percentiles(lang, values), lang), y, len(KINDS)) if rows else np.zeros((_inputs(values, values, lang).shape[1], len(KINDS)))
+    for k in range(len(KINDS)):
+        if k not in y:
+            weights[:, k], weights[-1, k] = 0, -1e6 if k or len(y) else 0
+    return weights
 
 
-def classify(lang: np.ndarray, values: np.ndarray, scale: Scale, weights: np.ndarray | None) -> np.ndarray:
+def classify(lang: np.ndarray, values: np.ndarray, scale: Scale, weights: np.ndarray) -> np.ndarray:
     """Index in KINDS of each row."""
-    if weights is None:
-        return rules(values)
-    return (_inputs(values, scale.percentiles(lang, values), lang) @ weights).argmax(1)
+    return (_inputs(scale.z_scores(lang, values), scale.percentiles(lang, values), lang) @ weights).argmax(1)
 
 
 def scored(docs: DataFrame, labels: DataFrame, common: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
