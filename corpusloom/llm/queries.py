@@ -48,23 +48,25 @@ def p3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 LATE_DAYS = 7
 
 
-def _line_state(docs: DataFrame) -> lines.LineState:
+def _maintained(docs: DataFrame) -> lines.Update:
     """The rows in time as the first partition, the late ones merged as a delta."""
     late = F.coalesce(F.col("ingested_at") > F.col("built_at") + F.make_dt_interval(F.lit(LATE_DAYS)), F.lit(False))
-    first = lines.count_partition(docs.where(~late))
-    return lines.merge(first, lines.count_partition(lines.unseen(docs.where(late), first)))
+    return lines.maintained(docs, late)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")
-    return lines.repeated_lines(docs, _line_state(docs))
+    return _maintained(table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")).hits
 
 
 def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, clean_text of the records that hold an excessive line."""
     docs = table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")
-    hits = lines.repeated_lines(docs, _line_state(docs))
-    return lines.rebuild(docs.select("id", "text"), hits).select("id", "clean_text").dropDuplicates(["id"])
+    return lines.rebuild(docs.select("id", "text"), _maintained(docs).hits).select("id", "clean_text").dropDuplicates(["id"])
+
+
+def p4_concerned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id of the records that the late partition concerns: its own, and those with a line that crossed the threshold by it."""
+    return _maintained(table(spark, sf_dir, "v2_chunks").select("id", "source", "text", "built_at", "ingested_at")).concerned
 
 
 def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +132,7 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p3_found, p3_paragraphs, p4_found, p4_clean, p5_found, p5_pieces, p6_found, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_groups, p3_found, p3_paragraphs, p4_found, p4_clean, p4_concerned, p5_found, p5_pieces, p6_found, p7_found, p7_stats, p8_ids, p9_mix, p9_shares, p10_found, p10_spans, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:

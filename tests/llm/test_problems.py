@@ -181,6 +181,23 @@ def test_lines_and_increments(spark):
     assert lines.repeated_lines(df.limit(0), lines.count_partition(df.limit(0))).count() == 0
 
 
+def test_updates_touch_only_what_crosses(spark, tmp_path):
+    rows = [(f"a{k}", "s", f"甲乙丙丁\n本行属于{chr(0x4E00 + k)}", False) for k in range(5)] + [(f"b{k}", "s", f"独有内容{chr(0x5000 + k)}号", False) for k in range(42)]
+    rows += [(f"c{k}", "t", "将要常见", False) for k in range(4)]
+    new = [("a9", "s", "甲乙丙丁\n别样行", True), ("c8", "t", "将要常见", True), ("a0", "s", "甲乙丙丁", True)] + [(f"d{k}", "s", f"后来的内容{chr(0x6000 + k)}", True) for k in range(20)]
+    df = frame(spark, rows + new, "id string, source string, text string, late boolean")
+    done = lines.maintained(df, F.col("late"))
+    whole = lines.count_partition(df)
+    want = {tuple(r) for r in lines.repeated_lines(df, whole).collect()}
+    assert {tuple(r) for r in done.hits.collect()} == want and {i for i, _ in want} == {f"c{k}" for k in (0, 1, 2, 3, 8)}
+    # the line of a0 .. a4 was excessive and no longer is, the one of c0 .. c3 has become so; b0 .. b41 aren't touched
+    assert {r[0] for r in done.concerned.collect()} == {f"a{k}" for k in (0, 1, 2, 3, 4, 9)} | {f"c{k}" for k in (0, 1, 2, 3, 8)} | {f"d{k}" for k in range(20)}
+    lines.save(done.state, str(tmp_path / "state"))
+    again = lines.load(spark, str(tmp_path / "state"))
+    assert {tuple(r) for r in lines.excessive(again).collect()} == {tuple(r) for r in lines.excessive(whole).collect()}
+    assert lines.maintained(df.limit(0), F.col("late")).hits.count() == 0
+
+
 # --- 5
 
 
@@ -264,10 +281,13 @@ def test_sketches_merge_and_percentiles(spark):
     assert p[0, 0] == pytest.approx(50, abs=1.5) and p[2, 0] == 50
 
 
-def test_kinds_without_labels(spark):
+def test_kinds_with_few_labels_or_none(spark):
     docs = frame(spark, [("p", sentences(9, 1)), ("p", sentences(9, 1)), ("t", "\n".join(f"项目{k}\t{k}.5\t{k * 7}\t{k}" for k in range(20))), ("n", None), ("b", " \n")]).transform(clash)
     labels, common = frame(spark, [], "id string, kind string"), frame(spark, [], "lang string, word string")
     got = {r["id"]: r["kind"] for r in quality.scored(docs, labels, common).collect()}
+    assert got == {"p": "prose", "t": "prose", "n": None, "b": None}
+    two = frame(spark, [("p", "prose"), ("t", "table")], "id string, kind string")  # a kind without a label is never named
+    got = {r["id"]: r["kind"] for r in quality.scored(docs, two, common).collect()}
     assert got == {"p": "prose", "t": "table", "n": None, "b": None}
     assert quality.scored(docs.limit(0), labels, common).count() == 0
 
