@@ -340,11 +340,17 @@ def qa_rows(n=160):
 
 
 def test_defects(spark):
-    model = pairs.train(qa_rows())
+    rows = qa_rows()
+    ends = pairs.count_endings(frame(spark, [(a,) for _, a, _ in rows], "a string"))
+    ends2, seen = pairs._ending_counts(pa.array([a for _, a, _ in rows]))
+    assert (ends.ends == ends2).all() and (ends.seen == seen).all()
+    usual = next(a for _, a, _ in rows if a.strip().endswith("。"))
+    assert ends.oddness(usual.strip()) < ends.oddness(usual.strip()[:-1])
+    model = pairs.train(rows, ends)
     q = "为什么说水文资料是国防建设的基础？"
     a = sentences(4, 5)
     cases = [(a, "qa", None), (None, "qa", "empty"), (" ", "qa", "empty"), ("N/A", "qa", "empty"), (q, "qa", "copy"), ("答：" + q, "qa", "copy"), (a[:-9], "qa", "truncated"), ("抱歉，我无法回答这个问题。", "qa", "refusal"), ("抱歉，我无法回答这个问题。", "refusal", None), ("The unit moved because the harbour was larger. It stayed for 5 days and then it returned to the depot.", "qa", "other_language")]
-    got = [pairs.classify(model, q, x, t) for x, t, _ in cases]
+    got = pairs.classify(model, [(q, x, t) for x, t, _ in cases])
     assert sum(g == w for g, (_, _, w) in zip(got, cases, strict=True)) >= 9
     assert pairs.expected_language("请用英文作答：" + q) == "en" and pairs.language("Где находится отряд наблюдения") == "ru"
 
@@ -444,8 +450,18 @@ def test_every_reading_of_a_character_is_learned(spark):
 
 def test_the_middle_of_a_long_answer_reaches_the_classifier():
     long = ["军事训练" * 20 + middle + "后勤保障" * 20 for middle in ("我无法回答这个问题", "天地玄黄宇宙洪荒日")]
-    slots = [pairs.features("问题是什么", a, pairs.Endings({}, {}))[1].tolist() for a in long]
-    assert slots[0] != slots[1]
+    slots, at = pairs.gram_slots(pa.array(long), np.array([False, False]))
+    assert slots[at[0] : at[1]].tolist() != slots[at[1] :].tolist()
+
+
+def test_slots_depend_on_the_answer_alone():
+    texts = ["The old harbour was quiet, the NEW one not.", "", "甲", "第12条规定如下。", None, "x y z’s étage ёлка"]
+    slots, at = pairs.gram_slots(pa.array(texts, pa.string()), np.zeros(6, bool))
+    for k, t in enumerate(texts):
+        alone, _ = pairs.gram_slots(pa.array([t], pa.string()), np.zeros(1, bool))
+        assert alone.tolist() == slots[at[k] : at[k + 1]].tolist()
+    copied, ends = pairs.gram_slots(pa.array(texts, pa.string()), np.ones(6, bool))
+    assert ends[1] <= 6 and set(copied[: ends[1]]) <= set(slots[: at[1]]) and pairs.gram_slots(pa.array([], pa.string()), np.zeros(0, bool))[0].size == 0
 
 
 # --- shared
