@@ -13,6 +13,7 @@ Null and blank texts give nothing; a null page_start only drops the comparison w
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from itertools import chain, product
@@ -170,10 +171,7 @@ _NUMBER = re.compile(r"(?<![A-Za-zÀ-ÿ0-9!|$@])[0-9]+(?![A-Za-zÀ-ÿ0-9!|$@])")
 
 
 def _word_slot(word: str) -> int:
-    h = 1469598103934665603
-    for b in word.encode():
-        h = ((h ^ b) * 1099511628211) & (2**64 - 1)
-    return (h * 0x9E3779B97F4A7C15 & (2**64 - 1)) >> (64 - WORD_BITS)
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) >> 32 - WORD_BITS
 
 
 def _gram_slots(chars: np.ndarray) -> np.ndarray:
@@ -200,7 +198,7 @@ class Model:
     numbers: int = 0
 
     def count(self, word: str) -> int:
-        return int(self.words[_word_slot(word)])
+        return _count(self, word)
 
     @cached_property
     def size(self) -> int:
@@ -243,6 +241,11 @@ class Model:
         return self is other
 
 
+@lru_cache(maxsize=200_000)
+def _count(model: Model, word: str) -> int:
+    return int(model.words[_word_slot(word)])
+
+
 @lru_cache(maxsize=200_000)
 def _edges(model: Model, word: str) -> tuple[tuple[float, str, bool], ...]:
     stands = model.cost(word)
@@ -386,6 +389,39 @@ def _word_path(stream: Stream, model: Model) -> list[Step]:
     return out[::-1]
 
 
+def _worthwhile(text: str, options: dict[int, list[str]], forced: set[int], model: Model) -> dict[int, list[str]]:
+    """The options without the readings that are in no three which gains: a change costs, so none of these is on the cheapest path.
+
+    The threes of all choices are counted in one step. Places that can't stand as they are keep all their readings.
+    """
+    n = len(text)
+    places = np.array(sorted(options))
+    chars = _points(text)
+    sizes, row = np.ones(n, np.int64), np.full(n, -1)
+    row[places] = np.arange(len(places))
+    sizes[places] = [len(options[i]) for i in places.tolist()]
+    table = np.zeros((len(places), int(sizes.max())), np.uint32)
+    table[np.arange(table.shape[1]) < sizes[places][:, None]] = _points("".join(chain.from_iterable(options[i] for i in places.tolist())))
+    at = np.unique(np.concatenate([places, places + 1, places + 2]))
+    at = at[(at >= 2) & (at < n)]
+    if not len(at):
+        return {i: options[i] for i in options if i in forced}
+    every = sizes[at - 2] * sizes[at - 1] * sizes[at]
+    i = np.repeat(at, every)
+    r = np.arange(len(i)) - np.repeat(np.cumsum(every) - every, every)
+    choice = np.column_stack([r // (sizes[i] * sizes[i - 1]), r // sizes[i] % sizes[i - 1], r % sizes[i]])
+    place = np.column_stack([i - 2, i - 1, i])
+    signs = np.where(row[place] >= 0, table[np.maximum(row[place], 0), choice], chars[place])
+    count = model.grams[_gram_slots(np.ascontiguousarray(signs).reshape(-1))[::3]]
+    stored = model.grams[_gram_slots(chars)][i - 2]
+    gaining = (count >= 6 * model.sign_scale) & (count >= RATIO * stored) & (signs != chars[place]).any(1)
+    kept: dict[int, list[str]] = {j: options[j] for j in options if j in forced}
+    found = {(j, c) for j, c in zip(place[gaining].ravel().tolist(), choice[gaining].ravel().tolist(), strict=True) if c and j in options and j not in forced}
+    for j, c in sorted(found):
+        kept.setdefault(j, [text[j]]).append(options[j][c])
+    return kept
+
+
 _KANA = re.compile(r"[ぁ-ヿ]")
 
 
@@ -402,6 +438,7 @@ def _sign_path(text: str, model: Model) -> list[Step]:
         if 0 < i < n - 1 and n >= 5 and ("一" <= text[i - 1] <= "鿿" or "一" <= text[i + 1] <= "鿿") and text[i] not in "・ー":
             forced.add(i)
     options = {i: (["?"] if c in _BLOCKS else list(model.cjk.get(c, "?"))) if i in forced else [c, *model.cjk[c]] for i, c in enumerate(text) if i in forced or n >= 5 and c in model.cjk}
+    options = _worthwhile(text, options, forced, model) if options else {}
     if not options:
         return []
     # the counts of all threes that any choice can make, in one step
