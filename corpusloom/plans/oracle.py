@@ -238,5 +238,82 @@ SELECT CAST(least(greatest(score, 0), 99) // 5 * 5 AS INTEGER) AS bucket, count(
 SELECT label_id AS id, CASE WHEN label_id LIKE 'F%' THEN 'friendly' WHEN label_id LIKE 'O%' THEN 'opponent' ELSE '' END AS side, CASE WHEN label_id LIKE 'F%' THEN '我方' WHEN label_id LIKE 'O%' THEN '他方' ELSE side END AS side_name, level1 AS l1, level2 AS l2, level3 AS leaf,
   CASE WHEN label_id LIKE 'F%' THEN '我方>' WHEN label_id LIKE 'O%' THEN '他方>' ELSE side || '>' END || full_path AS path FROM taxonomy_leaves""",
 }
+_INK = lambda c: f"length({sub(c, f'{_WS}+')})"
+_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+#: Folds over lists, one step of all documents at a time: what is held is passed on, joined or begun anew.
+ORACLE["chunks_wiki"] = f"""
+WITH RECURSIVE lines AS (SELECT doc_id, list_filter(list_transform(string_split({sub(_T, _BREAKS, "chr(10)")}, chr(10)), lambda x: {strip(blanks("x"))}), lambda x: x <> '') AS ls FROM documents),
+flat AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM lines),
+marked AS (SELECT *, CASE WHEN {has("line", "^##+" + chr(92) + "s*(.+?)" + chr(92) + "s*#*$")} THEN trim(regexp_extract(line, '^##+\\s*(.+?)\\s*#*$', 1)) END AS head FROM flat),
+grouped AS (SELECT *, count(head) OVER (PARTITION BY doc_id ORDER BY k) AS g FROM marked),
+units AS (SELECT doc_id, g, max(head) AS section, {strip("string_agg(line, chr(10) ORDER BY k) FILTER (head IS NULL)")} AS t FROM grouped GROUP BY doc_id, g),
+held AS (SELECT doc_id, list({{'t': t, 's': section, 'n': {_INK("t")}}} ORDER BY g) AS us FROM units WHERE coalesce(t, '') <> '' GROUP BY doc_id),
+fold AS (SELECT doc_id, us, 0 AS i, CAST(NULL AS VARCHAR) AS t, CAST(NULL AS VARCHAR) AS s, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(t VARCHAR, s VARCHAR, n BIGINT)[]) AS found FROM held
+  UNION ALL
+  SELECT doc_id, us, i + 1, CASE WHEN now.n >= 900 THEN NULL ELSE now.t END, CASE WHEN now.n >= 900 THEN NULL ELSE now.s END, CASE WHEN now.n >= 900 THEN 0 ELSE now.n END,
+    list_concat(found, list_concat(CASE WHEN over AND n >= 180 THEN [{{'t': t, 's': s, 'n': n}}] ELSE [] END, CASE WHEN now.n >= 900 THEN [now] ELSE [] END))
+  FROM (SELECT *, t IS NOT NULL AND n + us[i + 1].n > 1600 AS over, CASE WHEN t IS NULL OR n + us[i + 1].n > 1600 THEN {{'t': us[i + 1].t, 's': us[i + 1].s, 'n': us[i + 1].n}}
+    ELSE {{'t': t || chr(10) || us[i + 1].t, 's': coalesce(s, us[i + 1].s), 'n': n + us[i + 1].n}} END AS now FROM fold WHERE i < len(us))),
+packed AS (SELECT doc_id, list_concat(found, CASE WHEN t IS NOT NULL AND n >= 180 THEN [{{'t': t, 's': s, 'n': n}}] ELSE [] END) AS cs FROM fold WHERE i = len(us)),
+chunk AS (SELECT doc_id, unnest(cs) AS c, unnest(range(len(cs))) AS k FROM packed),
+sized AS (SELECT doc_id, k, c.s AS s, CASE WHEN c.n <= 1600 THEN [c.t] END AS whole, list_filter(list_transform(string_split(regexp_replace(c.t, '([。！？!?])', '\\1' || chr(57344), 'g'), chr(57344)), lambda x: {strip("x")}), lambda x: x <> '') AS ps FROM chunk),
+cut AS (SELECT doc_id, k, s, ps, 0 AS i, '' AS t, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS found FROM sized WHERE whole IS NULL
+  UNION ALL
+  SELECT doc_id, k, s, ps, i + 1, CASE WHEN m > 1600 THEN '' WHEN n + m > 1600 THEN p ELSE t || p END, CASE WHEN m > 1600 THEN 0 WHEN n + m > 1600 THEN m ELSE n + m END,
+    list_concat(found, list_concat(CASE WHEN t <> '' AND n + m > 1600 THEN [t] ELSE [] END, CASE WHEN m > 1600 THEN list_transform(range(0, length(p), 1600), lambda x: substring(p, CAST(x + 1 AS BIGINT), 1600)) ELSE [] END))
+  FROM (SELECT *, ps[i + 1] AS p, {_INK("ps[i + 1]")} AS m FROM cut WHERE i < len(ps))),
+pieces AS (SELECT doc_id, k, s, whole AS parts FROM sized WHERE whole IS NOT NULL UNION ALL SELECT doc_id, k, s, list_concat(found, CASE WHEN t <> '' THEN [t] ELSE [] END) FROM cut WHERE i = len(ps)),
+spread AS (SELECT doc_id, k, s, unnest(parts) AS t, unnest(range(len(parts))) AS j FROM pieces),
+final AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) AS x FROM (SELECT doc_id, k, j, s, {strip("t")} AS t FROM spread) WHERE {_INK("t")} >= 180)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id || '#' || lpad(CAST(x AS VARCHAR), 5, '0') AS id, CAST(x AS INTEGER) AS chunk_index, t AS text, s AS section, CAST({_INK("t")} AS INTEGER) AS char_count FROM final"""
+ORACLE["packed_paragraphs"] = f"""
+WITH RECURSIVE p AS ({ORACLE["paragraphs"]}),
+cut AS (SELECT doc_id, n, list_filter(list_transform(string_split(regexp_replace(paragraph, '([{_MARKS}])', '\\1' || chr(57344), 'g'), chr(57344)), lambda x: {strip("x")}), lambda x: x <> '') AS ps, 0 AS i, '' AS t, CAST([] AS VARCHAR[]) AS found, CAST(0 AS BIGINT) AS used FROM p WHERE length(paragraph) > 1800
+  UNION ALL
+  SELECT doc_id, n, ps, i + 1, CASE WHEN t <> '' AND used + length(ps[i + 1]) > 1800 THEN ps[i + 1] ELSE t || ps[i + 1] END, CASE WHEN t <> '' AND used + length(ps[i + 1]) > 1800 THEN list_append(found, t) ELSE found END,
+    CASE WHEN t <> '' AND used + length(ps[i + 1]) > 1800 THEN length(ps[i + 1]) ELSE used + length(ps[i + 1]) END FROM cut WHERE i < len(ps)),
+long AS (SELECT doc_id, n, list_append(found, t) AS runs FROM cut WHERE i = len(ps)),
+runs AS (SELECT doc_id, n, unnest(runs) AS r, unnest(range(len(runs))) AS k FROM long),
+slices AS (SELECT doc_id, n, k, list_transform(range(0, length(r), 1800), lambda x: substring(r, CAST(x + 1 AS BIGINT), 1800)) AS ss FROM runs),
+parts AS (SELECT doc_id, n, 0 AS k, 0 AS j, paragraph AS t FROM p WHERE length(paragraph) <= 1800 UNION ALL SELECT doc_id, n, k, unnest(range(len(ss))), unnest(ss) FROM slices),
+docs AS (SELECT doc_id, list(t ORDER BY n, k, j) AS ts FROM parts GROUP BY doc_id),
+fold AS (SELECT doc_id, ts, 0 AS i, CAST(NULL AS VARCHAR) AS t, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS found FROM docs
+  UNION ALL
+  SELECT doc_id, ts, i + 1, CASE WHEN now.n >= 900 THEN NULL ELSE now.t END, CASE WHEN now.n >= 900 THEN 0 ELSE now.n END, list_concat(found, list_concat(CASE WHEN over THEN [t] ELSE [] END, CASE WHEN now.n >= 900 THEN [now.t] ELSE [] END))
+  FROM (SELECT *, t IS NOT NULL AND n + length(ts[i + 1]) + 2 > 1800 AS over,
+    CASE WHEN t IS NULL OR n + length(ts[i + 1]) + 2 > 1800 THEN {{'t': ts[i + 1], 'n': length(ts[i + 1]) + 2}} ELSE {{'t': t || chr(10) || chr(10) || ts[i + 1], 'n': n + length(ts[i + 1]) + 2}} END AS now FROM fold WHERE i < len(ts))),
+ended AS (SELECT doc_id, list_filter(list_concat(found, CASE WHEN t IS NOT NULL THEN [t] ELSE [] END), lambda x: length({strip("x")}) >= 80) AS cs FROM fold WHERE i = len(ts)),
+flat AS (SELECT doc_id, unnest(cs) AS t, unnest(range(1, len(cs) + 1)) AS x FROM ended)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id || '#' || lpad(CAST(x AS VARCHAR), 5, '0') AS id, CAST(x AS INTEGER) AS chunk_index, {strip("t")} AS text, CAST({_INK("t")} AS INTEGER) AS char_count FROM flat"""
+
+
+def _chunks_plain() -> str:
+    """As chunks_wiki from the units on, with other sizes and units, and a text that gives no chunk cut as it is."""
+    clean_text = ORACLE["clean_plain_documents"]
+    heading = f"length(line) <= 80 AND ({has('line', lexicons.CHAPTER)} OR {has('line', lexicons.PAREN_NUMBER)} OR line IN ({', '.join(map(_q, lexicons.SECTION_WORDS))}))"
+    speakers = lexicons.SPEAKERS
+    head = f"""
+WITH RECURSIVE cleaned AS (SELECT doc_id, coalesce(clean, '') AS text FROM ({clean_text})),
+lines AS (SELECT doc_id, list_transform(string_split({sub("text", _BREAKS, "chr(10)")}, chr(10)), lambda x: {strip("x")}) AS ls FROM cleaned),
+flat AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM lines),
+marked AS (SELECT *, line = '目录' AS toc, line <> '' AND line <> '目录' AND {heading} AS head FROM flat),
+stated AS (SELECT *, coalesce(last_value(CASE WHEN toc THEN 1 WHEN head THEN 0 END IGNORE NULLS) OVER w, 0) = 1 AS contents, last_value(CASE WHEN head THEN line END IGNORE NULLS) OVER w AS section, count(CASE WHEN line = '' OR toc OR head THEN 1 END) OVER w AS g
+  FROM marked WINDOW w AS (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+blocks AS (SELECT doc_id, g, max(section) AS section, {strip("string_agg(line, chr(10) ORDER BY k)")} AS body FROM stated WHERE line <> '' AND NOT toc AND NOT head AND NOT contents GROUP BY doc_id, g),
+turns AS (SELECT doc_id, g, section, CASE WHEN len(regexp_extract_all(body, {_q(speakers)})) >= 2 THEN list_filter(list_transform(string_split(regexp_replace(body, {_q(speakers)}, chr(57344) || '\\0', 'g'), chr(57344)), lambda x: {strip("x")}), lambda x: x <> '') ELSE [body] END AS ts FROM blocks),
+units AS (SELECT doc_id, g * 100000 + unnest(range(len(ts))) AS g, section, unnest(ts) AS t FROM turns),
+held AS ("""
+    rest = ORACLE["chunks_wiki"].split("\nheld AS (", 1)[1]
+    rest = rest.replace("1600", "1800").replace(">= 180)", ">= 60)").replace("n >= 180 ", "n >= 60 ").replace(">= 180", ">= 60").replace("([。！？!?])", f"([{lexicons.SENTENCE_ENDS}])")
+    whole = f"SELECT doc_id, 0 AS k, NULL AS s, text AS t, {_INK('text')} AS n FROM cleaned WHERE {_INK('text')} >= 60"
+    main, last = rest.rsplit("\nSELECT CAST(doc_id AS VARCHAR)", 1)
+    again = main[main.index("sized AS (") :].replace("c.s AS s", "s").replace("c.n", "n").replace("c.t", "t").replace("FROM chunk)", f"FROM ({whole}) WHERE doc_id NOT IN (SELECT doc_id FROM final))")
+    for name in ("sized", "cut", "pieces", "spread", "final"):
+        again = again.replace(f"{name} AS (", f"{name}2 AS (").replace(f"FROM {name} ", f"FROM {name}2 ").replace(f"FROM {name})", f"FROM {name}2)")
+    again = again.replace("NOT IN (SELECT doc_id FROM final2)", "NOT IN (SELECT doc_id FROM final)")
+    return f"{head}{main},\n{again}\nSELECT CAST(doc_id AS VARCHAR){last} UNION ALL SELECT CAST(doc_id AS VARCHAR){last}2"
+
+
+ORACLE["chunks_plain"] = _chunks_plain()
 ORACLE["relevance_buckets"] = ORACLE["relevance_buckets"].replace("relevant_rows_sql", ORACLE["relevant_rows"])
 ORACLE |= stages(_PAIRS, _SQ, _SA)

@@ -136,6 +136,13 @@ def chunks_raw(d):
     return chunking.chunk_documents(cleaned, chunking.chunk_raw, "doc_id")
 
 
+@query("documents")
+def packed_paragraphs(d):
+    """chunks_raw of clean texts as they are, without the repair and the cut of references that go before."""
+    chunks = chunking.chunk_documents(d.select("doc_id", T.clean_text(F.col("text")).alias("text")), chunking.chunk_raw, "doc_id")
+    return chunks.drop("section")
+
+
 @query("documents")
 def chunks_plain(d):
     return chunking.chunk_documents(d.select("doc_id", T.clean_plain(F.col("text")).alias("text")), chunking.chunk_plain, "doc_id")
