@@ -136,7 +136,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_FOUND, "p5_found": P5_FOUND}
+    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_clean": P4_CLEAN, "p5_found": P5_FOUND, "p10_found": P10_FOUND, "p10_share": P10_SHARE}
 
 
 P4_FOUND = r"""
@@ -154,3 +154,49 @@ WHERE c.n >= 5 AND c.n * 10 >= z.n_ids
 """
 
 P5_FOUND = "SELECT DISTINCT v.id FROM v2_chunks v JOIN size_limits s USING (dataset_source) WHERE length(v.text) > s.max_chars"
+
+P4_CLEAN = rf"""
+WITH hits AS ({P4_FOUND}),
+docs AS (SELECT DISTINCT id, string_split(text, chr(10)) AS parts FROM v2_chunks WHERE id IN (SELECT id FROM hits)),
+flat AS (SELECT id, unnest(parts) AS line, CAST(unnest(range(len(parts))) AS INTEGER) AS line_no FROM docs)
+SELECT id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT hit), '') AS clean_text
+FROM (SELECT f.*, h.id IS NOT NULL AS hit FROM flat f LEFT JOIN hits h USING (id, line_no)) GROUP BY id
+"""
+
+P2_FOUND = r"""
+WITH t AS (SELECT DISTINCT id, regexp_replace(text, '[ \t\r\n\x{3000}\x{00A0}]+', '', 'g') AS t FROM v2_chunks WHERE text IS NOT NULL),
+texts AS (SELECT t, row_number() OVER () AS c FROM (SELECT DISTINCT t FROM t WHERE length(t) >= 80)),
+runs AS (SELECT c, list_distinct(list_transform(range(1, CAST(length(t) - 3 AS BIGINT)), lambda i: substring(t, i, 5))) AS s FROM texts),
+sizes AS (SELECT c, len(s) AS n FROM runs),
+flat AS (SELECT c, unnest(s) AS s FROM runs),
+common AS (SELECT a.c, b.c AS d, count(*) AS k FROM flat a JOIN flat b ON a.s = b.s AND a.c < b.c GROUP BY ALL),
+alike AS (SELECT x.c, x.d FROM common x JOIN sizes p ON p.c = x.c JOIN sizes q ON q.c = x.d WHERE k >= 0.7 * (p.n + q.n - k)),
+members AS (SELECT id, c FROM t JOIN texts USING (t)),
+linked AS (SELECT c, d FROM alike UNION ALL SELECT d, c FROM alike UNION ALL SELECT c, c FROM texts)
+SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM linked l JOIN members a ON a.c = l.c JOIN members b ON b.c = l.d WHERE a.id < b.id
+"""
+
+_WINDOWS = """
+t AS (SELECT doc_id, text FROM documents WHERE length(text) >= 160),
+texts AS (SELECT text, row_number() OVER () AS c FROM (SELECT DISTINCT text FROM t)),
+places AS (SELECT c, text, CAST(unnest(range(1, CAST(length(text) - 158 AS BIGINT))) AS BIGINT) AS pos FROM texts),
+windows AS (SELECT c, pos, md5_number(substring(text, pos, 160)) AS w FROM places),
+shared AS (SELECT w FROM windows GROUP BY w HAVING count(DISTINCT c) > 1),
+held AS (SELECT c, pos, w FROM windows SEMI JOIN shared USING (w)),
+members AS (SELECT doc_id, c, length(text) AS n FROM t JOIN texts USING (text))"""
+
+P10_FOUND = f"""
+WITH {_WINDOWS},
+once AS (SELECT DISTINCT c, w FROM held),
+pairs AS (SELECT DISTINCT a.c, b.c AS d FROM once a JOIN once b ON a.w = b.w UNION SELECT c, c FROM texts)
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM pairs p JOIN members a ON a.c = p.c JOIN members b ON b.c = p.d WHERE a.doc_id < b.doc_id
+"""
+
+P10_SHARE = f"""
+WITH {_WINDOWS},
+copied AS (SELECT c FROM members GROUP BY c HAVING count(*) > 1),
+gaps AS (SELECT c, least(160, coalesce(lead(pos) OVER (PARTITION BY c ORDER BY pos) - pos, 160)) AS own FROM (SELECT DISTINCT c, pos FROM held)),
+covered AS (SELECT c, sum(own) AS k FROM gaps GROUP BY c)
+SELECT d.doc_id, CAST(length(d.text) AS INTEGER) AS n_chars, CAST(coalesce(CASE WHEN x.c IS NOT NULL THEN m.n ELSE k END, 0) AS BIGINT) AS shared_chars
+FROM documents d LEFT JOIN members m ON m.doc_id = d.doc_id LEFT JOIN copied x ON x.c = m.c LEFT JOIN covered v ON v.c = m.c
+"""
