@@ -68,18 +68,29 @@ def garbled_score(c: Column) -> Column:
     return F.regexp_count(c, F.lit(f"[{lexicons.GARBLED_SIGNS}]")) - F.floor(F.regexp_count(c, F.lit(f"[{lexicons.COMMON_SIGNS}]")) / 8).cast("int")
 
 
+def _score(text: str) -> int:
+    """garbled_score() of a Python string."""
+    count = lambda signs: sum(map(text.count, dict.fromkeys(signs)))
+    return count(lexicons.GARBLED_SIGNS) - count(lexicons.COMMON_SIGNS) // 8
+
+
 @cache
 def _regarbled():
-    """Re-encodes as GBK and reads as UTF-8. Marked as nondeterministic, so that it is evaluated once, on its own."""
+    """Re-encodes as GBK, in its wider and its narrower form, and reads as UTF-8: the better of the two that keep most.
+
+    Marked as nondeterministic, so that it is evaluated once, on its own.
+    """
 
     def run(texts: pd.Series) -> pd.Series:
-        def back(t: str | None) -> str | None:
-            if t is None:
-                return None
+        def read(t: str, codec: str) -> str:
             try:
-                return t.encode("gb18030").decode("utf-8")
+                return t.encode(codec).decode("utf-8")
             except UnicodeError:
-                return t.encode("gb18030", "ignore").decode("utf-8", "ignore")
+                return t.encode(codec, "ignore").decode("utf-8", "ignore")
+
+        def back(t: str | None) -> str | None:
+            found = [x for codec in ("gb18030", "gbk") if len(x := read(t, codec)) > 0.65 * len(t)] if t else []
+            return min(found, key=_score, default=None)
 
         return texts.map(back)
 
@@ -90,7 +101,7 @@ def repair_garbled(c: Column) -> Column:
     """Text of UTF-8 read as GBK, restored where that makes it clearly better. Python sees suspicious texts only."""
     suspicious = garbled_score(c) >= 4
     other = _regarbled()(F.when(suspicious, c))
-    better = suspicious & (F.length(other) > 0.65 * F.length(c)) & (garbled_score(other) + 3 < garbled_score(c))
+    better = suspicious & other.isNotNull() & (garbled_score(other) + 3 < garbled_score(c))
     return F.when(better, other).otherwise(c)
 
 

@@ -315,5 +315,9 @@ held AS ("""
 
 
 ORACLE["chunks_plain"] = _chunks_plain()
+ORACLE["references_cut"] = f"""
+WITH c AS (SELECT doc_id, {clean("text")} AS t FROM documents), l AS (SELECT *, string_split(t, chr(10)) AS ls FROM c),
+h AS (SELECT *, list_filter(range(len(ls)), lambda i: {has(strip("ls[i + 1]"), lexicons.REFERENCE_CUT)}) AS heads FROM l)
+SELECT doc_id, coalesce(list_filter(list_transform(heads, lambda i: {strip("array_to_string(ls[1:i], chr(10))")}), lambda x: length(x) >= 100)[1], t) AS kept FROM h"""
 ORACLE["relevance_buckets"] = ORACLE["relevance_buckets"].replace("relevant_rows_sql", ORACLE["relevant_rows"])
 ORACLE |= stages(_PAIRS, _SQ, _SA)
