@@ -85,13 +85,6 @@ def split_even(df: DataFrame, parts: int, *order: str) -> DataFrame:
     return numbered(df, *order, ranges=_ranges(rows)).withColumn("part", (F.floor((F.col("n") - 1) / max(1, -(-rows // parts))) + 1).cast("int")).drop("n")
 
 
-def parse_size(size: str) -> int:
-    """Bytes from a number with K, M or G after it, or none."""
-    text = size.strip().upper()
-    power = {"K": 1, "M": 2, "G": 3}.get(text[-1:], 0)
-    return int(float(text[:-1] if power else text) * 1024**power)
-
-
 def line_bytes(*columns: str) -> Column:
     """The bytes of a row as a line of JSON, line feed included; nulls are written out."""
     return F.octet_length(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})) + 1

@@ -42,30 +42,34 @@ def read_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def decode(content: bytes, charsets: tuple[str, ...]) -> str:
-    """By the first charset that fits; else as UTF-8 with what is bad replaced."""
+def decode(content: bytes, charsets: tuple[str, ...], errors: str = "replace") -> str:
+    """By the first charset that fits; else as UTF-8 with what is bad replaced, or left out (errors="ignore")."""
     for name in charsets:
         try:
             return content.decode(name)
         except UnicodeDecodeError:
             continue
-    return content.decode("utf-8", "replace")
+    return content.decode("utf-8", errors)
 
 
-def read_texts(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".txt",), charsets: tuple[str, ...] = ("utf-8-sig", "utf-8", "gb18030", "big5")) -> DataFrame:
-    """path (below root), text of all files with one of the suffixes in root and below."""
+def read_texts(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".txt",), charsets: tuple[str, ...] = ("utf-8-sig", "utf-8", "gb18030", "big5"), errors: str = "replace", in_order: bool = False) -> DataFrame:
+    """path (below root), text of all files with one of the suffixes in root and below, on request in the order of path.
+
+    errors: see decode().
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(b, charsets) for b in batch.column(1).to_pylist()], pa.string())], ["path", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(b, charsets, errors) for b in batch.column(1).to_pylist()], pa.string())], ["path", "text"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     ends = F.lit(False)
     for s in suffixes:
         ends = ends | F.lower("path").endswith(s)
     base = root.rstrip("/").removeprefix("file://")
-    below = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), f"^{base}/", "")
-    return files.where(ends).select(below.alias("path"), "content").mapInArrow(run, "path string, text string")
+    below = F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), rf"^\Q{base}\E/", "")
+    texts = files.where(ends).select(below.alias("path"), "content").mapInArrow(run, "path string, text string")
+    return texts.orderBy("path") if in_order else texts
 
 
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
@@ -80,6 +84,12 @@ def admitted_pages(pages: DataFrame, text: str = "text", least: int = 80) -> Dat
     return pages.withColumn("skip", F.when(F.col("ns") != "0", "other_namespace").when(F.coalesce(F.col("raw_text"), F.lit("")) == "", "empty").when(n < least, "short"))
 
 
+def page_counts(admitted: DataFrame) -> DataFrame:
+    """seen, written, and the pages skipped by each reason, of admitted_pages()."""
+    skipped = [F.count_if(F.col("skip") == k).alias(f"skipped_{k}") for k in ("other_namespace", "empty", "short")]
+    return admitted.agg(F.count("*").alias("seen"), F.count_if(F.col("skip").isNull()).alias("written"), *skipped)
+
+
 def write_lines(df: DataFrame, path: str, keep_nulls: bool = True) -> None:
     """JSON lines, with null fields where they are part of the contract."""
     df.write.mode("overwrite").option("ignoreNullFields", not keep_nulls).json(path)
