@@ -502,3 +502,13 @@ def test_margins_are_validated():
     assert encoding.best_reading(rows[1][:10] + "��" + rows[1][10:], model, margins) == (rows[1][:10] + "��" + rows[1][10:], True)
     assert encoding.best_reading(rows[0].encode().decode("latin-1"), model, margins)[0] == rows[0]
     assert encoding.validated_margins(model, []).accept(1, 1)
+
+
+def test_share_equals_sql(spark, data):
+    duckdb = pytest.importorskip("duckdb")
+    from corpusloom.llm import queries
+
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    got = sorted(tuple(r[k] for k in ("doc_id", "n_chars", "shared_chars")) for r in queries.p10_share(spark, data).collect())
+    assert got == sorted(db.execute(queries.P10_SHARE).fetchall()) and any(k for _, _, k in got)
