@@ -254,6 +254,40 @@ def test_round_trip_of_encodings(spark, wrong, right):
     assert not got["lost", "text"]["complete"]
 
 
+def test_margins_come_from_all_clean_values(spark):
+    # the 400 values whose ids have the least hashes are English, in which no chain reads anything; only the others tell what a reading must gain
+    r = random.Random(5)
+    stems = "отряд патруль берег вечер дорога письмо работа станция правило история порядок корабль пас ярус".split()
+    texts = [f"the patrol reached station {k} before noon and returned" for k in range(450)] + [" ".join(r.choice(stems) for _ in range(12)) + "." for _ in range(300)]
+    ids = [x["id"] for x in frame(spark, [(str(k), "") for k in range(750)]).orderBy(F.xxhash64("id", F.lit(0))).collect()]
+    docs = frame(spark, [*zip(ids, texts, strict=True), ("odd", "отряд \x81 змгу берег."), ("bad", "отряд " + "патруль берег".encode().decode("latin-1") + " пас."), ("n", None), ("e", "")])
+    assert [(x["id"], x["restored"]) for x in encoding.repaired(docs, ("text",)).collect()] == [("bad", "отряд патруль берег пас.")]
+    values = docs.select("text").where("text is not null")
+    model = encoding.count_characters(values)
+    margins = encoding.corpus_margins(values.repartition(7), model)
+    assert margins == encoding.validated_margins(model, texts) and margins.total > 0 and margins.mean > 0
+    assert encoding.validated_margins(model, texts[:450]).accept(0.1, 0.1)
+
+
+def test_gains_of_a_batch_are_those_of_each_value():
+    texts = [words(50, k) + "Été à Pau" + words(9, k).encode("gb18030").decode("big5", "replace") for k in range(20)] + ["патруль берег" * 9, words(40, 1).encode().decode("gb18030", "replace"), "L’été", "海", "Ä", "\ue000" * 3]
+    texts += [words(30, k).encode(right, "ignore").decode(wrong, "replace") for k, (wrong, right) in enumerate(encoding.CHAINS) if not right.startswith(("cp", "koi"))]
+    flat = vec.codepoints(pa.array(["\n".join(texts[:9])]))[0]
+    model = encoding.CharModel(np.bincount(encoding._slots(flat), minlength=1 << encoding.BIGRAM_BITS).astype(np.float32), np.bincount(encoding._single(flat), minlength=1 << encoding.UNIGRAM_BITS).astype(np.float32))
+    want = []
+    for text in texts:
+        chars = vec.codepoints(pa.array([text]))[0]
+        for chain in encoding.CHAINS:
+            want += [encoding._gain(model, text[max(0, a - 1) : a] or "\n", text[a:b], new, text[b : b + 1] or "\n") for a, b, new in encoding._readings(text, chars, *chain)]
+    total, mean = encoding._gains(model, texts, encoding.CHAINS)
+    assert len(want) > 500 and np.allclose(sorted(total), sorted(x for x, _ in want), atol=0.01) and np.allclose(sorted(mean), sorted(x for _, x in want), atol=0.01)
+    assert (encoding.gain_counts(model, texts) == sum(encoding.gain_counts(model, [x]) for x in texts)).mean() > 0.999
+    r = random.Random(1)
+    data = bytes(r.choice(b"\x41\x80\xbf\xc1\xc2\xdf\xe0\xef\xf0\xf4\xf5\xa1") for _ in range(30_000))
+    assert encoding._stretches(data, "utf-8", 6) == [m.span() for m in encoding._UTF8.finditer(data) if m.end() - m.start() >= 6] != []
+    assert encoding._stretches(b"\x41" * 2000, "utf-8") == [] and encoding._stretches(b"", "utf-8") == []
+
+
 def test_encoding_of_an_empty_table(spark):
     assert encoding.repaired(frame(spark, [], "id string, text string, source string")).count() == 0
 
